@@ -255,12 +255,20 @@ def galore_steps(stringency: int = 1, adapter: str = STANDARD_ADAPTER) -> list[S
     return [quality_right(20), adapter_tail(adapter, 0.1, stringency), min_length(20)]
 
 
+def _computed_once(rest: Sequence[str], df: DataFrame, new: dict[str, Column]) -> DataFrame:
+    """``rest`` and the new columns, computed by a one-row generator.
+
+    Neither projections are merged across it nor filters moved below it; otherwise each step
+    of a chain would be copied into all later steps, several times over.
+    """
+    return df.select(*rest, F.inline(F.array(F.struct(*[c.alias(name) for name, c in new.items()]))))
+
+
 def trim_pairs(pairs: DataFrame, steps: Sequence[Step]) -> DataFrame:
     """Run the steps over ``r1`` and ``r2``; adds ``failed1``/``failed2``.
 
     These hold the number of the first step that dropped the mate, NULL for a survivor.
-    Bases and qualities are plain columns meanwhile, so that each step is computed once
-    instead of being copied into every later expression.
+    Bases and qualities are plain columns meanwhile.
     """
     state = {f"_{name}{m}": F.col(f"r{m}.{name}") for m in (1, 2) for name in ("seq", "qual")}
     out = pairs.withColumns(state).withColumns({f"failed{m}": F.lit(None).cast("int") for m in (1, 2)})
@@ -270,15 +278,14 @@ def trim_pairs(pairs: DataFrame, steps: Sequence[Step]) -> DataFrame:
             for m in (1, 2):
                 spans[f"_from{m}"], spans[f"_len{m}"] = step.cut(F.col(f"_seq{m}"), F.col(f"_qual{m}"))
             out = out.withColumns(spans)
-            out = out.withColumns(
-                {
-                    f"_{name}{m}": F.substr(
-                        f"_{name}{m}", F.col(f"_from{m}") + 1, F.greatest(F.col(f"_len{m}"), F.lit(0))
-                    )
-                    for m in (1, 2)
-                    for name in ("seq", "qual")
-                }
-            ).drop(*spans)
+            cut = {
+                f"_{name}{m}": F.substr(
+                    f"_{name}{m}", F.col(f"_from{m}") + 1, F.greatest(F.col(f"_len{m}"), F.lit(0))
+                )
+                for m in (1, 2)
+                for name in ("seq", "qual")
+            }
+            out = _computed_once(out.drop(*cut, *spans).columns, out, cut)
         if step.keep is not None:
             lost = {
                 m: F.col(f"_seq{m}").isNotNull() & ~step.keep(F.col(f"_seq{m}"), F.col(f"_qual{m}")) for m in (1, 2)

@@ -59,7 +59,7 @@ def preprocess(
     """Part rows to surviving pairs and the survival report. Pairs never come apart here, so the
     re-pairing join is not needed; it is there for cleaning done elsewhere."""
     keys = ["sample", "part_no"]
-    pairs = kept_rows(parse_rows(rows, keys, first_row_rule)).drop("paired")
+    pairs = kept_rows(parse_rows(rows, keys, first_row_rule))
     trimmed = trim.trim_pairs(pairs, steps)
     return trim.survivors(trimmed), trim.trim_report(trimmed, steps)
 
