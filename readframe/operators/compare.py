@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from readframe.operators.intervals import depth_segments
 from readframe.operators.transcripts import transcript_exons
+from readframe.session import settle
 
 LEVELS = ("base", "exon", "intron", "intron_chain", "transcript", "locus")
 
@@ -75,7 +76,7 @@ def locus_tally(query: DataFrame, reference: DataFrame) -> DataFrame:
     )
 
     def loci(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-        spans = islands(table.select(*keys, "start0", "end0"), keys)
+        spans = settle(islands(table.select(*keys, "start0", "end0"), keys))
         hits = overlap_join(shared, spans, on=tuple(keys)).select(*keys, "r_start0", "r_end0").distinct()
         return spans, hits
 
@@ -97,6 +98,9 @@ def accuracy(query: DataFrame, reference: DataFrame, levels: Sequence[str] = LEV
     Both sides: ``(chrom_id, strand, chain, start0, end0)``.
     """
     keys = ["chrom_id", "strand"]
+    columns = [*keys, "chain", "start0", "end0"]
+    # Each level reads both tables; they are small next to the reads they were made from.
+    query, reference = settle(query.select(*columns)), settle(reference.select(*columns))
     parts = []
     if "base" in levels or "exon" in levels:
         q_exons, r_exons = transcript_exons(query), transcript_exons(reference)

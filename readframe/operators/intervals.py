@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from readframe.operators.running import next_position, running_sum
+from readframe.operators.running import next_position, running_sum, running_sum_and_next
 from readframe.operators.scale import BROADCAST_ROWS, SALTS, fits, salt_of
 
 # Fixed values of the read bins.
@@ -159,8 +159,8 @@ def overlap_join(
 
 
 def overlap_bases():
-    """Length of the common part of a joined pair."""
-    return F.least("end0", "r_end0") - F.greatest("start0", "r_start0")
+    """Length of the common part of a joined pair, NULL where an outer join found none."""
+    return F.when(F.col("r_start0").isNotNull(), F.least("end0", "r_end0") - F.greatest("start0", "r_start0"))
 
 
 def _boundaries(intervals: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
@@ -188,13 +188,13 @@ def depth_segments(intervals: DataFrame, keys: Sequence[str], weights: Sequence[
         intervals, weights = intervals.withColumn("depth", F.lit(1)), ["depth"]
     changed = " or ".join(f"{w} <> 0" for w in weights)
     events = _boundaries(intervals, keys, weights).filter(changed)
-    summed = running_sum(events, keys, "pos", {f"_before_{w}": w for w in weights}, levels=1)
-    after = summed.select(*keys, "pos", *[(F.col(w) + F.col(f"_before_{w}")).alias(w) for w in weights])
-    return (
-        next_position(after, keys, "pos", "_end")
-        .filter(changed)
-        .select(*keys, F.col("pos").alias("start0"), F.col("_end").alias("end0"), *weights)
-    )
+    swept = running_sum_and_next(events, keys, "pos", {f"_before_{w}": w for w in weights}, "_end")
+    return swept.select(
+        *keys,
+        F.col("pos").alias("start0"),
+        F.col("_end").alias("end0"),
+        *[(F.col(w) + F.col(f"_before_{w}")).alias(w) for w in weights],
+    ).filter(changed)
 
 
 def islands(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from readframe.operators.intervals import depth_segments, overlap_bases, overlap_join
 from readframe.operators.scale import dimension_join
+from readframe.session import settle
 
 MAX_LOCI = 10
 SPLICE_BLOCK = 4_096
@@ -50,8 +51,8 @@ def sequence_blocks(sequences: DataFrame, width: int = SPLICE_BLOCK) -> DataFram
     """``(chrom_id, block, bases)``: a reference cut into blocks for lookups by position."""
     starts = F.sequence(F.lit(0), F.expr(f"(length(seq) - 1) div {width}"))
     return sequences.filter("length(seq) > 0").select(
-        "chrom_id", "seq", F.explode(starts).alias("block")
-    ).select("chrom_id", "block", F.substr("seq", F.col("block") * width + 1, F.lit(width)).alias("bases"))
+        "chrom_id", F.col("seq").cast("binary").alias("seq"), F.explode(starts).alias("block")
+    ).select("chrom_id", "block", F.substr("seq", (F.col("block") * width + 1).cast("int"), F.lit(width)).alias("bases"))
 
 
 def splice_motifs(junctions: DataFrame, sequences: DataFrame, width: int = SPLICE_BLOCK) -> DataFrame:
@@ -72,7 +73,7 @@ def splice_motifs(junctions: DataFrame, sequences: DataFrame, width: int = SPLIC
         "block", F.expr(f"pos div {width}")
     )
     found = dimension_join(asked, sequence_blocks(sequences, width), ["chrom_id", "block"], "left", max_rows=20_000)
-    letter = F.substr("bases", (F.col("pos") % width + 1).cast("int"), F.lit(1))
+    letter = F.substr("bases", (F.col("pos") % width + 1).cast("int"), F.lit(1)).cast("string")
     letters = found.groupBy(*keys).agg(
         F.concat(*[F.coalesce(F.max(F.when(F.col("spot") == i, letter)), F.lit("")) for i in range(4)]).alias("_letters")
     )
@@ -182,7 +183,7 @@ def base_classes(blocks: DataFrame, regions: DataFrame, keys: Sequence[str] = ("
     Segments are disjoint, so overlaps simply add up: sums are formed on the map side and no
     alignment is shuffled when the annotation is small enough to broadcast.
     """
-    segments = class_segments(regions)
+    segments = settle(class_segments(regions))
     columns = blocks.select(*keys, "chrom_id", "start0", "end0")
     overlaps = overlap_join(columns, segments).groupBy(*keys).agg(
         *[

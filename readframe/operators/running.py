@@ -48,6 +48,39 @@ def running_sum(
     )
 
 
+def running_sum_and_next(
+    df: DataFrame, keys: Sequence[str], pos: str, sums: Mapping[str, str], following: str, width: int = WIDTH
+) -> DataFrame:
+    """:func:`running_sum` and :func:`next_position` in one pass, for axes of bounded length.
+
+    The window over the cells sees one row per cell, that is axis length / ``width`` rows.
+    """
+    celled = df.withColumn("_cell", F.expr(f"{pos} div {width}"))
+    order = Window.partitionBy(*keys, "_cell").orderBy(pos)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    inside = celled.select(
+        "*",
+        *[F.coalesce(F.sum(value).over(before), F.lit(0)).alias(f"_in_{out}") for out, value in sums.items()],
+        F.lead(pos).over(order).alias("_lead"),
+    )
+    cells = celled.groupBy(*keys, "_cell").agg(
+        *[F.sum(value).alias(f"_total_{out}") for out, value in sums.items()], F.min(pos).alias("_first")
+    )
+    cell_order = Window.partitionBy(*keys).orderBy("_cell")
+    earlier = cell_order.rowsBetween(Window.unboundedPreceding, -1)
+    bases = cells.select(
+        *keys,
+        "_cell",
+        *[F.coalesce(F.sum(f"_total_{out}").over(earlier), F.lit(0)).alias(f"_base_{out}") for out in sums],
+        F.lead("_first").over(cell_order).alias("_after"),
+    )
+    return inside.join(bases, [*keys, "_cell"]).select(
+        *df.columns,
+        *[(F.col(f"_in_{out}") + F.col(f"_base_{out}")).alias(out) for out in sums],
+        F.coalesce("_lead", "_after").alias(following),
+    )
+
+
 def next_position(df: DataFrame, keys: Sequence[str], pos: str, out: str, width: int = WIDTH) -> DataFrame:
     """Add ``out``: the next larger ``pos`` of the same key, NULL for the last one."""
     celled = df.withColumn("_cell", F.expr(f"{pos} div {width}"))
