@@ -1,4 +1,4 @@
 """All checked queries."""
 
-from checks import assembly, genome, tables  # noqa: F401
+from checks import assembly, files, genome, tables  # noqa: F401
 from checks.registry import QUERIES, SQL  # noqa: F401
