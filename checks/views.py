@@ -46,13 +46,12 @@ def refseq(spark, sf_dir) -> DataFrame:
 
 
 def reads1(spark, sf_dir) -> DataFrame:
+    # One regular-expression pass cuts the whole text; windows by position would count from the
+    # start of the text each time.
     windows = (
         refseq(spark, sf_dir)
-        .filter("length(seq) > 0")
-        .selectExpr("chrom_id", "seq", "explode(sequence(0, (length(seq) - 1) div 100)) AS k")
-        .selectExpr(
-            "chrom_id * 10000 + k AS ordinal", "(chrom_id + k) % 8 AS cell", "substring(seq, 1 + 100 * k, 100) AS seq"
-        )
+        .selectExpr("chrom_id", "posexplode(regexp_extract_all(seq, '(.{1,100})', 1)) AS (k, seq)")
+        .selectExpr("chrom_id * 10000 + k AS ordinal", "(chrom_id + k) % 8 AS cell", "seq")
     )
     return windows.selectExpr(
         "concat('cell', cell) AS sample",

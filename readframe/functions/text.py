@@ -55,13 +55,6 @@ def qualities_below(limit: int) -> str:
     return "".join(chr(PHRED_OFFSET + q) for q in range(max(limit, 0)))
 
 
-def scores(qual: Column) -> Column:
-    """Phred scores of a quality string as ``array<int>``."""
-    return F.transform(
-        F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: F.ascii(c) - F.lit(PHRED_OFFSET)
-    )
-
-
 def read_key(read_id: Column, strip_mate_suffix: bool = False) -> Column:
     """First word of a read id; ``/1`` and ``/2`` stay unless asked for."""
     key = F.element_at(F.split(read_id, "[ \t]"), 1)
