@@ -463,19 +463,24 @@ def hook_map(spark, sf):
 
 @query(
     "hook_parts",
-    "v_counts",
-    "SELECT sample, part_no, count(*) AS n_rows, CAST(sum(cnt) AS BIGINT) AS cnt FROM v_counts GROUP BY ALL",
+    "v_reads1",
+    PARTS_SQL
+    + """SELECT sample, part_no, count(*) AS n_rows, CAST(sum(row_bytes) AS BIGINT) AS n_bytes
+FROM n JOIN s USING (sample, ordinal) GROUP BY ALL""",
 )
 def hook_parts(spark, sf):
+    """A user function per part; the part numbers bound what one call sees."""
     import pandas as pd
 
     def totals(key, batches):
-        rows = cnt = 0
+        rows = size = 0
         for batch in batches:
-            rows, cnt = rows + len(batch), cnt + int(batch.cnt.sum())
-        yield pd.DataFrame({"sample": [key[0]], "part_no": [key[1]], "n_rows": [rows], "cnt": [cnt]})
+            rows, size = rows + len(batch), size + int(batch.row_bytes.sum())
+        yield pd.DataFrame({"sample": [key[0]], "part_no": [key[1]], "n_rows": [rows], "n_bytes": [size]})
 
-    return hooks.map_parts(v.counts(spark, sf), totals, "sample string, part_no int, n_rows bigint, cnt bigint")
+    return hooks.map_parts(
+        _numbered(spark, sf), totals, "sample string, part_no int, n_rows bigint, n_bytes bigint"
+    )
 
 
 @query("standard_cleaning")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from readframe.functions.cigar import INTERVALS
 from readframe.functions.text import opposite
@@ -42,8 +42,12 @@ def fragments(alignments: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
-def _unique_pieces(frags: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per aligned piece of the fragments that are mapped once."""
+STATE = ("hits", "mapq", "read_bases")
+
+
+def _pieces(frags: DataFrame, keys: Sequence[str], lookup: Column) -> DataFrame:
+    """One row per aligned piece of the fragments that ``lookup`` asks for, one empty row for each
+    other fragment. So one pass over the fragments serves the genes and the QC rows alike."""
     mates = F.filter(
         F.array(
             F.struct(F.lit(1).alias("mate"), F.col("h1").alias("hit")),
@@ -56,9 +60,9 @@ def _unique_pieces(frags: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     total = F.aggregate(lengths, F.lit(0).cast("bigint"), lambda sum_, n: sum_ + n)
     return (
-        frags.filter("greatest(n1, n2) = 1")
-        .select(*keys, total.alias("read_bases"), F.explode(mates).alias("_m"))
-        .select(*keys, "read_bases", "_m.mate", "_m.hit.chrom_id", "_m.hit.strand", F.inline("_m.hit.pieces"))
+        frags.withColumn("hits", F.greatest("n1", "n2"))
+        .select(*keys, "hits", "mapq", total.alias("read_bases"), F.explode_outer(F.when(lookup, mates)).alias("_m"))
+        .select(*keys, *STATE, "_m.mate", "_m.hit.chrom_id", "_m.hit.strand", F.inline_outer("_m.hit.pieces"))
         .withColumnsRenamed({"s": "start0", "e": "end0"})
     )
 
@@ -88,19 +92,26 @@ def _covered(exons: DataFrame, stranded: str) -> DataFrame:
 
 
 def genes_per_fragment(
-    frags: DataFrame, exons: DataFrame, stranded: str = "no", keys: Sequence[str] = KEYS, covered: bool = False
+    frags: DataFrame,
+    exons: DataFrame,
+    stranded: str = "no",
+    keys: Sequence[str] = KEYS,
+    covered: bool = False,
+    lookup: Column | None = None,
 ) -> DataFrame:
-    """``(keys, read_bases, gene, bases, mates)`` of uniquely mapped fragments.
+    """``(keys, hits, mapq, read_bases, gene, bases, mates)``.
 
-    A row with NULL gene stands for a piece without gene; with ``covered`` its ``bases`` are
-    the bases that lie in any gene. After a broadcast lookup all of this runs on the
-    partitioning of ``fragments``.
+    Only fragments that are mapped once and pass ``lookup`` meet the genes. A row with NULL gene
+    stands for a piece without gene; with ``covered`` its ``bases`` are the bases that lie in
+    any gene. After a broadcast lookup all of this runs on the partitioning of ``fragments``.
     """
     features = _features(exons)
     if covered:
         features = features.unionByName(_covered(exons, stranded))
-    pairs = overlap_join(_unique_pieces(frags, keys), features, how="left", condition=_strand_test(stranded))
-    return pairs.groupBy(*keys, "read_bases", "gene").agg(
+    once = F.col("hits") == 1
+    wanted = once if lookup is None else once & lookup
+    pairs = overlap_join(_pieces(frags, keys, wanted), features, how="left", condition=_strand_test(stranded))
+    return pairs.groupBy(*keys, *STATE, "gene").agg(
         F.coalesce(F.sum(overlap_bases()), F.lit(0)).alias("bases"),
         (F.max(F.when(F.col("mate") == 1, 1).otherwise(0)) + F.max(F.when(F.col("mate") == 2, 1).otherwise(0))).alias(
             "mates"
@@ -109,33 +120,40 @@ def genes_per_fragment(
 
 
 def _choose(per_gene: DataFrame, keys: Sequence[str], qualifies=None) -> DataFrame:
-    """``(keys, n_genes, gene)``: how many genes a fragment qualifies for, and one of them."""
+    """``(keys, hits, mapq, n_genes, gene)``: how many genes a fragment qualifies for, and one of them."""
     gene = F.when(qualifies, F.col("gene")) if qualifies is not None else F.col("gene")
-    return per_gene.groupBy(*keys).agg(F.count(gene).alias("n_genes"), F.max(gene).alias("gene"))
+    return per_gene.groupBy(*keys, "hits", "mapq").agg(F.count(gene).alias("n_genes"), F.max(gene).alias("gene"))
 
 
 def _both_mates_first(per_gene: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pairs: a gene hit by both mates beats genes hit by one."""
     hit = F.col("gene").isNotNull()
     both = hit & (F.col("mates") == 2)
-    return per_gene.groupBy(*keys).agg(
+    return per_gene.groupBy(*keys, "hits", "mapq").agg(
         F.count(F.when(hit, 1)).alias("_any"),
         F.max(F.col("gene")).alias("_gene"),
         F.count(F.when(both, 1)).alias("_both"),
         F.max(F.when(both, F.col("gene"))).alias("_gene2"),
     ).select(
         *keys,
+        "hits",
+        "mapq",
         F.when(F.col("_both") > 0, F.col("_both")).otherwise(F.col("_any")).alias("n_genes"),
         F.when(F.col("_both") > 0, F.col("_gene2")).otherwise(F.col("_gene")).alias("gene"),
     )
 
 
-def _status(chosen: DataFrame, none: str, many: str) -> DataFrame:
+def _status(chosen: DataFrame, skipped, none: str, many: str) -> DataFrame:
+    """Count records. ``skipped``: ``(test, status, count)`` of fragments that were not looked up."""
+    label = F.coalesce(*[F.when(test, status) for test, status, _ in skipped])
+    amount = F.coalesce(*[F.when(test, count) for test, _, count in skipped], F.lit(1))
+    n = F.col("n_genes")
+    by_genes = F.when(n == 0, none).when(n == 1, F.col("gene")).otherwise(many)
     return chosen.select(
         "sample",
-        F.when(F.col("n_genes") == 1, "gene").otherwise("qc").alias("kind"),
-        F.when(F.col("n_genes") == 0, none).when(F.col("n_genes") == 1, F.col("gene")).otherwise(many).alias("feature"),
-        F.lit(1).cast("bigint").alias("cnt"),
+        F.when(label.isNull() & (n == 1), "gene").otherwise("qc").alias("kind"),
+        F.coalesce(label, by_genes).alias("feature"),
+        amount.cast("bigint").alias("cnt"),
     )
 
 
@@ -143,16 +161,6 @@ def _total(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sample", "kind", "feature").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 
-def _unassigned(frags: DataFrame, cases) -> DataFrame:
-    """QC rows of fragments that never reach the gene lookup."""
-    label = F.coalesce(*[F.when(test, name) for test, name, _ in cases])
-    amount = F.coalesce(*[F.when(test, value) for test, _, value in cases])
-    return (
-        frags.select("sample", F.lit("qc").alias("kind"), label.alias("feature"), amount.cast("bigint").alias("cnt"))
-        .filter("feature is not null")
-    )
-
-
 def feature_counts(
     alignments: DataFrame, exons: DataFrame, stranded: str = "no", keys: Sequence[str] = KEYS
 ) -> DataFrame:
@@ -160,15 +168,10 @@ def feature_counts(
 
     Multi-mapped reads count once per hit, as records of the alignment file do.
     """
-    frags = fragments(alignments, keys)
-    hits = F.greatest("n1", "n2")
-    skipped = _unassigned(
-        frags,
-        [(hits == 0, "unassigned_unmapped", F.lit(1)), (hits > 1, "unassigned_multimapping", hits)],
-    )
-    chosen = _both_mates_first(genes_per_fragment(frags, exons, stranded, keys), keys)
-    rows = _status(chosen, "unassigned_nofeatures", "unassigned_ambiguity")
-    return _total(rows.unionByName(skipped))
+    hits = F.col("hits")
+    skipped = [(hits == 0, "unassigned_unmapped", F.lit(1)), (hits > 1, "unassigned_multimapping", hits)]
+    chosen = _both_mates_first(genes_per_fragment(fragments(alignments, keys), exons, stranded, keys), keys)
+    return _total(_status(chosen, skipped, "unassigned_nofeatures", "unassigned_ambiguity"))
 
 
 def feature_summary(counts: DataFrame) -> DataFrame:
@@ -188,15 +191,14 @@ def htseq_counts(
     """Union, intersection-strict or intersection-nonempty."""
     if mode not in HTSEQ_MODES:
         raise ValueError(f"mode must be one of {HTSEQ_MODES}")
-    frags = fragments(alignments, keys)
-    hits = F.greatest("n1", "n2")
-    poor = F.col("mapq") < min_quality
-    skipped = _unassigned(
-        frags,
-        [(hits == 0, "not_aligned", F.lit(1)), (hits > 1, "alignment_not_unique", hits), (poor, "too_low_aQual", F.lit(1))],
-    )
-    good = frags.filter(~(hits > 1) & ~poor)
-    per_gene = genes_per_fragment(good, exons, stranded, keys, covered=mode == "intersection-nonempty")
+    hits, poor = F.col("hits"), F.col("mapq") < min_quality
+    skipped = [
+        (hits == 0, "not_aligned", F.lit(1)),
+        (hits > 1, "alignment_not_unique", hits),
+        (poor, "too_low_aQual", F.lit(1)),
+    ]
+    covered = mode == "intersection-nonempty"
+    per_gene = genes_per_fragment(fragments(alignments, keys), exons, stranded, keys, covered, ~poor)
     qualifies = None
     if mode == "intersection-strict":
         qualifies = F.col("bases") == F.col("read_bases")
@@ -206,41 +208,39 @@ def htseq_counts(
         per_gene = per_gene.withColumn("_covered", F.max(F.when(F.col("gene").isNull(), F.col("bases"))).over(read))
         qualifies = F.col("bases") == F.col("_covered")
     chosen = _choose(per_gene, keys, qualifies)
-    return _total(_status(chosen, "no_feature", "ambiguous").unionByName(skipped))
+    return _total(_status(chosen, skipped, "no_feature", "ambiguous"))
 
 
 def star_counts(alignments: DataFrame, exons: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """A10: ``(sample, kind, feature, unstranded, first_strand, second_strand)`` in one pass."""
-    frags = fragments(alignments, keys)
-    hits = F.greatest("n1", "n2")
-    pairs = overlap_join(_unique_pieces(frags, keys), _features(exons), how="left")
+    pieces = _pieces(fragments(alignments, keys), keys, F.col("hits") == 1)
+    pairs = overlap_join(pieces, _features(exons), how="left")
     same = F.col("strand") == F.col("r_strand")
-    per_gene = pairs.groupBy(*keys, "gene").agg(F.coalesce(F.max(same), F.lit(False)).alias("same"))
+    per_gene = pairs.groupBy(*keys, "hits", "gene").agg(F.coalesce(F.max(same), F.lit(False)).alias("same"))
     gene = F.col("gene")
     tests = {
         "unstranded": gene.isNotNull(),
         "first_strand": gene.isNotNull() & F.col("same"),
         "second_strand": gene.isNotNull() & ~F.col("same"),
     }
-    chosen = per_gene.groupBy(*keys).agg(
+    chosen = per_gene.groupBy(*keys, "hits").agg(
         *[F.count(F.when(t, 1)).alias(f"n_{name}") for name, t in tests.items()],
         *[F.max(F.when(t, gene)).alias(f"g_{name}") for name, t in tests.items()],
     )
 
     def result(name: str):
         n = F.col(f"n_{name}")
+        skipped = F.when(F.col("hits") == 0, "unmapped").when(F.col("hits") > 1, "multimapping")
+        by_genes = F.when(n == 0, "noFeature").when(n == 1, F.col(f"g_{name}")).otherwise("ambiguous")
         return F.struct(
             F.lit(name).alias("column"),
             F.when(n == 1, "gene").otherwise("qc").alias("kind"),
-            F.when(n == 0, "noFeature").when(n == 1, F.col(f"g_{name}")).otherwise("ambiguous").alias("feature"),
+            F.coalesce(skipped, by_genes).alias("feature"),
             F.lit(1).cast("bigint").alias("cnt"),
         )
 
     rows = chosen.select("sample", F.inline(F.array(*[result(name) for name in tests])))
-    skipped = _unassigned(
-        frags, [(hits == 0, "unmapped", F.lit(1)), (hits > 1, "multimapping", F.lit(1))]
-    ).withColumn("column", F.explode(F.array(*[F.lit(name) for name in tests])))
-    return rows.unionByName(skipped).groupBy("sample", "kind", "feature").agg(
+    return rows.groupBy("sample", "kind", "feature").agg(
         *[F.coalesce(F.sum(F.when(F.col("column") == name, F.col("cnt"))), F.lit(0)).cast("bigint").alias(name) for name in tests]
     )
 

@@ -103,9 +103,14 @@ def full_bins(counts: DataFrame, minimum: int = MIN_READS_IN_BIN) -> DataFrame:
     return counts.filter(F.col("n_reads") >= minimum)
 
 
-def _with_cells(df: DataFrame, width: int, first: str, cell: str) -> DataFrame:
+def _with_cells(df: DataFrame, width: int, first: str, cell: str, outer: bool = False) -> DataFrame:
+    """One row per cell. With ``outer`` a row without an interval stays, in a cell below zero that
+    matches nothing; these cells are spread, so that such rows do not meet in one task."""
     low, high = F.expr(f"start0 div {width}"), F.expr(f"greatest(end0 - 1, start0) div {width}")
-    return df.withColumn(first, low).withColumn(cell, F.explode(F.sequence(low, high)))
+    cells = F.when(F.col("start0").isNotNull(), F.sequence(low, high))
+    if outer:
+        cells = F.coalesce(cells, F.array((-1 - salt_of(df, 1_000_000)).cast("bigint")))
+    return df.withColumn(first, low).withColumn(cell, F.explode(cells))
 
 
 def overlap_join(
@@ -135,7 +140,7 @@ def overlap_join(
         "_r_first",
         "_cell",
     ).drop("start0", "end0")
-    reads = _with_cells(left, width, "_l_first", "_cell")
+    reads = _with_cells(left, width, "_l_first", "_cell", outer=how == "left")
     overlap = (
         (F.col("start0") < F.col("r_end0"))
         & (F.col("r_start0") < F.col("end0"))
