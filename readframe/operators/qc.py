@@ -165,39 +165,63 @@ def pair_summary(alignments: DataFrame, keys: Sequence[str] = ("sample", "read_i
     )
 
 
-def class_segments(regions: DataFrame) -> DataFrame:
+def class_segments(regions: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
     """Disjoint stretches of one base class. ``regions``: ``(chrom_id, start0, end0, base_class)``.
 
-    Priority where classes overlap: coding, utr, intronic.
+    Where classes overlap the first of ``classes`` counts.
     """
     weighted = regions.select(
-        "chrom_id", "start0", "end0", *[(F.col("base_class") == c).cast("int").alias(c) for c in CLASSES]
+        "chrom_id", "start0", "end0", *[(F.col("base_class") == c).cast("int").alias(c) for c in classes]
     )
-    best = F.coalesce(*[F.when(F.col(c) > 0, c) for c in CLASSES])
-    return depth_segments(weighted, ["chrom_id"], CLASSES).select("chrom_id", "start0", "end0", best.alias("base_class"))
+    best = F.coalesce(*[F.when(F.col(c) > 0, c) for c in classes])
+    return depth_segments(weighted, ["chrom_id"], classes).select("chrom_id", "start0", "end0", best.alias("base_class"))
 
 
-def base_classes(blocks: DataFrame, regions: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
+def base_classes(
+    blocks: DataFrame, regions: DataFrame, keys: Sequence[str] = ("sample",), ribosomal: DataFrame | None = None
+) -> DataFrame:
     """Aligned bases per class. ``blocks``: ``(keys, chrom_id, start0, end0)``.
 
+    Intervals in ``ribosomal`` form a class of their own that comes before all others.
+
     Segments are disjoint, so overlaps simply add up: sums are formed on the map side and no
     alignment is shuffled when the annotation is small enough to broadcast.
     """
-    segments = settle(class_segments(regions))
+    classes = CLASSES
+    if ribosomal is not None:
+        classes = ("ribosomal", *CLASSES)
+        regions = regions.select("chrom_id", "start0", "end0", "base_class").unionByName(
+            ribosomal.select("chrom_id", "start0", "end0", F.lit("ribosomal").alias("base_class"))
+        )
+    segments = settle(class_segments(regions, classes))
     columns = blocks.select(*keys, "chrom_id", "start0", "end0")
     overlaps = overlap_join(columns, segments).groupBy(*keys).agg(
         *[
             F.coalesce(F.sum(F.when(F.col("base_class") == c, overlap_bases())), F.lit(0)).cast("bigint").alias(f"{c}_bases")
-            for c in CLASSES
+            for c in classes
         ]
     )
     totals = blocks.groupBy(*keys).agg(F.sum(F.col("end0") - F.col("start0")).cast("bigint").alias("pf_aligned_bases"))
     zero = F.lit(0).cast("bigint")
     joined = totals.join(overlaps, list(keys), "left").select(
-        *keys, "pf_aligned_bases", *[F.coalesce(f"{c}_bases", zero).alias(f"{c}_bases") for c in CLASSES]
+        *keys, "pf_aligned_bases", *[F.coalesce(f"{c}_bases", zero).alias(f"{c}_bases") for c in classes]
     )
-    classed = F.col("coding_bases") + F.col("utr_bases") + F.col("intronic_bases")
-    return joined.withColumn("intergenic_bases", F.col("pf_aligned_bases") - classed)
+    rest = F.col("pf_aligned_bases")
+    for c in classes:
+        rest = rest - F.col(f"{c}_bases")
+    return joined.withColumn("intergenic_bases", rest)
+
+
+def read_bases(reads: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
+    """``pf_bases``: bases of all reads, aligned or not."""
+    return reads.groupBy(*keys).agg(F.coalesce(F.sum(F.length("seq")), F.lit(0)).cast("bigint").alias("pf_bases"))
+
+
+def ignored_reads(alignments: DataFrame, ignored: DataFrame) -> DataFrame:
+    """Aligned records on sequences that are left out of the figures, given by ``chrom_id``."""
+    marks = ignored.select("chrom_id").distinct().withColumn("_ignored", F.lit(True))
+    marked = dimension_join(alignments.select("sample", "chrom_id"), marks, ["chrom_id"], "left")
+    return marked.groupBy("sample").agg(F.count("_ignored").alias("ignored_reads"))
 
 
 def strand_reads(blocks: DataFrame, exons: DataFrame, strand_specificity: str = "NONE") -> DataFrame:

@@ -183,6 +183,17 @@ def test_splice_motifs(spark):
     assert got == {2: "GT/AG", 12: "GT/AG", 0: "Non-canonical"}
 
 
+def test_ribosomal_and_ignored(spark):
+    blocks = spark.createDataFrame([("s", 1, 0, 100), ("s", 2, 0, 50)], "sample string, chrom_id int, start0 bigint, end0 bigint")
+    regions = spark.createDataFrame([(1, 20, 60, "coding")], "chrom_id int, start0 bigint, end0 bigint, base_class string")
+    ribosomal = spark.createDataFrame([(1, 50, 70)], "chrom_id int, start0 bigint, end0 bigint")
+    row = qc.base_classes(blocks, regions, ribosomal=ribosomal).collect()[0]
+    assert (row.ribosomal_bases, row.coding_bases, row.intergenic_bases) == (20, 30, 100)
+    assert qc.ignored_reads(blocks, spark.createDataFrame([(2,)], "chrom_id int")).collect()[0].ignored_reads == 1
+    table = spark.createDataFrame([("s", "ACG"), ("s", "AC")], "sample string, seq string")
+    assert qc.read_bases(table).collect()[0].pf_bases == 5
+
+
 def test_base_classes_add_up(spark):
     blocks = spark.createDataFrame([("s", 1, 0, 100), ("s", 1, 50, 400)], "sample string, chrom_id int, start0 bigint, end0 bigint")
     regions = spark.createDataFrame([(1, 20, 60, "utr"), (1, 40, 80, "coding"), (1, 0, 300, "intronic")], "chrom_id int, start0 bigint, end0 bigint, base_class string")
