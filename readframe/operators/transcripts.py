@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from readframe.functions.text import transcript_id
 from readframe.operators.intervals import BIN_STEP, islands
 from readframe.operators.scale import salted_join
+from readframe.session import settle
 
 MIN_INTRON_SUPPORT = 2
 
@@ -117,6 +118,8 @@ def with_exon_length(table: DataFrame) -> DataFrame:
 
 def abundance(table: DataFrame, read_length: int = 100) -> DataFrame:
     """Coverage, FPKM and TPM of transcripts with ``support`` and ``length``."""
+    # The totals and the rows both read the table, which is small next to the reads behind it.
+    table = settle(table)
     rate = F.col("support") / F.col("length")
     sums = table.agg(F.sum("support").alias("reads"), F.sum(rate).alias("rates"))
     reads, rates = sums.select("reads").scalar(), sums.select("rates").scalar()
