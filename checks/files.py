@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from checks import views as v
 from checks.assembly import CHAINS, _candidates
 from checks.registry import query
-from readframe.operators import intervals, reads, transcripts, trim
+from readframe.operators import reads, transcripts, trim
 from readframe.operators.matrix import with_kind
 from readframe.plans import jobs
 from readframe.session import scratch_path

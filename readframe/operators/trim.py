@@ -23,7 +23,6 @@ CLIP_SEED, CLIP_SEED_MISMATCHES, CLIP_SCORE = 16, 2, 10
 MATCH_MILLI, QUALITY_MILLI = 602, 100  # score x 1000 of a match; per Phred unit of a mismatch
 STANDARD_ADAPTER = "AGATCGGAAGAGC"
 ENTROPY_WINDOW, ENTROPY_STEP, ENTROPY_WORD = 64, 32, 3
-MAX_ADAPTERS = 1_000
 
 
 # ---- column forms of the steps -------------------------------------------------------------

@@ -22,7 +22,7 @@ from readframe.sinks import files
 from readframe.sources import annotation as ann
 from readframe.sources.fastq import read_mates
 from readframe.sources.manifest import manifest_files, read_manifest, require_input
-from readframe.sources.parts import as_reads, kept_rows, parse_rows, read_part_rows, row_text
+from readframe.sources.parts import as_reads, kept_rows, parse_rows, row_text
 
 
 def split(
