@@ -29,34 +29,44 @@ QUERY_WORDS, QUERY_BYTES, LONG_WORD = 32_768, 1_000_000, 256
 SCHEMA = "doc_id {id}, n_tokens bigint, ids binary, decoded binary"
 
 # Rows stay in (wid, pos) order: one thread, and join sides as written. The error() guards it.
-_STEP = """
-  (WITH pairs AS MATERIALIZED (
-     SELECT r.*, m.rank
-     FROM (SELECT wid, pos, tok, depth, lead(wid) OVER () AS next_wid, lead(pos) OVER () AS next_pos,
-                  lead(tok) OVER () AS next_tok FROM run {live}) r
-     LEFT JOIN merges m ON m.pair = CASE WHEN next_wid = wid THEN CASE WHEN next_pos > pos
+# ``best`` is the lowest rank of the word, null when the word is done; done words leave the recursion.
+_RANKED = """
+   pairs AS MATERIALIZED (
+     SELECT wid, pos, tok, rank
+     FROM (SELECT wid, pos, tok, lead(wid) OVER () AS next_wid, lead(pos) OVER () AS next_pos, lead(tok) OVER () AS next_tok
+           FROM {rows})
+     LEFT JOIN merges ON pair = CASE WHEN next_wid = wid THEN CASE WHEN next_pos > pos
        THEN tok::BIGINT * 4294967296 + next_tok ELSE error('rows out of order') END END),
-   best AS (SELECT wid AS best_wid, min(rank) AS best FROM pairs WHERE rank IS NOT NULL GROUP BY wid),
-   hits AS (SELECT wid, pos, tok, depth, best, coalesce(rank = best, false) AS hit, row_number() OVER () AS n
-            FROM pairs JOIN best ON best_wid = wid),
-   odd AS (SELECT *, hit AND (n - coalesce(max(CASE WHEN NOT hit THEN n END) OVER (ROWS UNBOUNDED PRECEDING), 0)) % 2 = 1
-                  AS joined FROM hits),
-   moved AS (SELECT *, lag(joined, 1, false) OVER () AS gone FROM odd)
-   {out})
+   lowest AS (SELECT wid AS word, min(rank) AS best FROM pairs WHERE rank IS NOT NULL GROUP BY wid)
+"""
+_RUN = "SELECT wid, pos, tok, rank, best FROM pairs LEFT JOIN lowest ON word = wid"
+# Contracts the first of adjoining occurrences (only a pair of equal tokens can adjoin itself); the others follow.
+_SHORT = f"""
+WITH RECURSIVE run(wid, pos, tok, rank, best) AS (
+  (WITH {_RANKED.format(rows="start")} {_RUN})
+  UNION ALL
+  (WITH hits AS (SELECT wid, pos, tok, best, coalesce(rank = best, false) AS hit FROM run WHERE best IS NOT NULL),
+   near AS (SELECT *, lag(hit, 1, false) OVER () AS hit1, lag(hit, 2, false) OVER () AS hit2 FROM hits),
+   kept AS (SELECT wid, pos, CASE WHEN hit AND NOT hit1 THEN best ELSE tok END AS tok FROM near WHERE hit2 OR NOT hit1),
+   {_RANKED.format(rows="kept")} {_RUN}))
+SELECT wid, pos, tok FROM run WHERE best IS NULL
+"""
+# For long words: every other of adjoining occurrences at once, and one stored row per position instead of one per step.
+_LONG = f"""
+WITH RECURSIVE run(wid, pos, tok, step) USING KEY (wid, pos) AS (
+  SELECT wid, pos, tok, 0 FROM start
+  UNION
+  (WITH live AS (SELECT wid, pos, tok, step FROM run WHERE tok >= 0),
+   {_RANKED.format(rows="live")},
+   hits AS (SELECT wid, pos, tok, best, coalesce(rank = best, false) AS hit, row_number() OVER () AS n
+            FROM pairs JOIN lowest ON word = wid),
+   near AS (SELECT *, hit AND (n - coalesce(max(CASE WHEN NOT hit THEN n END) OVER (ROWS UNBOUNDED PRECEDING), 0)) % 2 = 1
+                   AS joined FROM hits),
+   moved AS (SELECT *, lag(joined, 1, false) OVER () AS gone FROM near)
+   SELECT wid, pos, CASE WHEN gone THEN -1 WHEN joined THEN best ELSE tok END AS tok,
+          (SELECT max(step) FROM live) + 1 AS step FROM moved))
+SELECT wid, pos, tok FROM run WHERE tok >= 0
 """
-_SHORT = (
-    "WITH RECURSIVE run(wid, pos, tok, depth) AS (SELECT wid, pos, tok, 0 FROM start UNION ALL"
-    + _STEP.format(live="", out="SELECT wid, pos, CASE WHEN joined THEN best ELSE tok END, depth + 1 FROM moved WHERE NOT gone")
-    + ") SELECT wid, pos, tok FROM run JOIN (SELECT wid AS w, max(depth) AS d FROM run GROUP BY wid) ON w = wid AND d = depth"
-)
-_LONG = (
-    "WITH RECURSIVE run(wid, pos, tok, depth) USING KEY (wid, pos) AS (SELECT wid, pos, tok, 0 FROM start UNION"
-    + _STEP.format(
-        live="WHERE tok >= 0",
-        out="SELECT wid, pos, CASE WHEN gone THEN -1 WHEN joined THEN best ELSE tok END, depth + 1 FROM moved",
-    )
-    + ") SELECT wid, pos, tok FROM run WHERE tok >= 0"
-)
 _FINAL = """
 SELECT wid, list(tok ORDER BY pos) AS ids, unhex(string_agg(bytes, '' ORDER BY pos)) AS decoded
 FROM ({contracted}) JOIN vocabulary ON id = tok GROUP BY wid ORDER BY wid
@@ -150,7 +160,8 @@ class Contractor:
             self.clear()
         number, found, counts = self.words.__getitem__, [], []
         for text in texts:
-            seen = np.array(list(map(number, findall(text))), dtype=np.int64)
+            matches = findall(text)
+            seen = np.fromiter(map(number, matches), dtype=np.int64, count=len(matches))
             found.append(seen)
             counts.append(len(seen))
         self.learn()
