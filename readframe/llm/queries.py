@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readframe.llm import bpe
+from readframe.llm import bpe, chat, quality
 from readframe.llm.catalog import query
 from readframe.llm.common import table
 
@@ -16,3 +16,45 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+OP3_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### : </turn>') + 2 + length(replace(replace(replace(text, '\\', '\\b'), '#', '\\h'), '<', '\\l'))
+    + length(replace(replace(replace(replace(role, '\\', '\\b'), '#', '\\h'), '<', '\\l'), ':', '\\c'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query("op3_chat", OP3_SQL)
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    chats = chat.read_back(chat.format_chats(turns.unionByName(extra)))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+@query("op5_quality", quality.oracle())
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *base, "base_failed", "kept")
