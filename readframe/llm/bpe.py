@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from readframe.llm.common import Growing, Numbered, each_piece, gather, texts_of
@@ -151,7 +152,7 @@ class Contractor:
                     lens.extend(np.diff(values.offsets.to_numpy()))
                 else:
                     flat.extend(np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8))
-                    lens.extend(np.asarray(pa.compute.binary_length(values), dtype=np.int64))
+                    lens.extend(np.asarray(pc.binary_length(values), dtype=np.int64))
             begin = end
 
     def encode(self, texts: list[str], findall) -> list[tuple[int, bytes, bytes]]:

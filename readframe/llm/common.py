@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from readframe.session import scratch_path
@@ -49,7 +50,7 @@ def pieces(batch: pa.RecordBatch, text_col: str, most: int = PIECE_BYTES) -> Ite
     """``batch`` in slices of at most ``most`` text bytes; a longer text is a slice of its own."""
     if not batch.num_rows:
         return
-    sizes = np.asarray(pa.compute.binary_length(batch.column(text_col)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(text_col)).fill_null(0), dtype=np.int64)
     begin, total = 0, 0
     for row, size in enumerate(sizes.tolist()):
         if row > begin and total + size > most:
@@ -80,6 +81,26 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+# Bytes of words: digits, letters (A-Z lower-cased) and all above 0x7F; the others part words.
+PLAIN_WORDS = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased."""
+    return text.encode().translate(PLAIN_WORDS).split()
+
+
+def sampled(df: DataFrame, group: str, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows of each group at most, chosen by a hash of ``key``; all rows of a smaller group.
+
+    The counts per group are merged on the map side, so a group of any size is cheap.
+    """
+    counts = df.groupBy(group).agg(F.count("*").alias("_n"))
+    parts = 1 << 30
+    chosen = df.join(F.broadcast(counts), group)
+    return chosen.filter(F.pmod(F.xxhash64(key), F.lit(parts)) * F.col("_n") < F.lit(bound * parts)).drop("_n")
+
+
 class Growing:
     """An array that grows by appending."""
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readframe.llm import bpe, chat, quality
+from readframe.llm import bpe, chat, quality, records, toxicity
 from readframe.llm.catalog import query
-from readframe.llm.common import table
+from readframe.llm.common import fold, table
+from readframe.session import scratch_path
 
 
 @query("op1_bpe")
@@ -58,3 +59,21 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *base, "base_failed", "kept")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query("op8_records")
+def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    index = records.write(table(spark, sf_dir, "documents"), scratch_path(spark, "records"), definition, end_id=2)
+    back = records.read(spark, index, "doc_id", "start", "n_tokens")
+    return back.select("doc_id", "start", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
