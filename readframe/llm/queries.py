@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readframe.llm import bpe, chat, quality, records, toxicity
+from readframe.llm import bpe, chat, decontaminate, langid, quality, records, toxicity
 from readframe.llm.catalog import query
 from readframe.llm.common import fold, table
 from readframe.session import scratch_path
@@ -77,3 +77,24 @@ def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = records.write(table(spark, sf_dir, "documents"), scratch_path(spark, "records"), definition, end_id=2)
     back = records.read(spark, index, "doc_id", "start", "n_tokens")
     return back.select("doc_id", "start", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_decontaminate", decontaminate.oracle())
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
