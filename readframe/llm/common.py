@@ -38,11 +38,11 @@ def fold_of(value: object, folds: int) -> int:
     return 0 if value is None else zlib.crc32(str(value).encode()) % folds
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: lineage is cut, lost executors lose nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

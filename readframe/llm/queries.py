@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readframe.llm import bpe, chat, decontaminate, langid, quality, records, toxicity
+from readframe.llm import bpe, chat, decontaminate, hmm, jaccard, langid, quality, records, toxicity
 from readframe.llm.catalog import query
 from readframe.llm.common import fold, table
 from readframe.session import scratch_path
@@ -98,3 +98,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
     found = langid.identify(docs, model)
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_jaccard")
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query("op6_hmm")
+def op6_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
