@@ -236,7 +236,7 @@ def clean(
     A text with more than ``covered`` of its words hit is dropped. Null texts stay.
     """
     lots = _lots(items, item_col, item_text_col, lot_words)
-    at = docs.columns.index(text_col)
+    columns_of, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in each_piece(batches, text_col):
@@ -252,7 +252,7 @@ def clean(
             rows = batch.take(pa.array(kept, pa.int64()))
             columns = list(rows.columns)
             columns[at] = pa.array(new, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=columns_of)
 
     return docs.mapInArrow(run, docs.schema)
 

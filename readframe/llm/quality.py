@@ -12,8 +12,6 @@ scored each; a null id stays null; other columns are not read.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readframe.llm.common import stored
@@ -40,13 +38,12 @@ START = (0.9, 0.02, 0.3)
 PRIOR = 1.0  # added to each vote count, so that no probability is 0
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and the counts that the rules look at."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+def counts(rows: DataFrame, *keep: str) -> DataFrame:
+    """The ``keep`` columns of ``rows`` and the counts of ``text`` that the rules look at."""
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     rows = rows.select(
-        "doc_id",
+        *keep,
         F.array_remove(F.split("text", SPACE), "").alias("w"),
         lines.alias("lines"),
         _matches("[#*$%&|<>]").alias("n_symbols"),
@@ -56,7 +53,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         _matches(PLAIN).alias("n_plain"),
     )
     rows = rows.select(
-        "doc_id",
+        *keep,
         "w",
         F.size("w").cast("bigint").alias("n_words"),
         F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
@@ -68,7 +65,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "n_letters",
         "n_plain",
     )
-    return repeated_words(rows).select("doc_id", *COUNTS)
+    return repeated_words(rows).select(*keep, *COUNTS)
 
 
 def _matches(pattern: str) -> Column:
@@ -163,14 +160,18 @@ def fit(votes: DataFrame, names: list[str], steps: int = STEPS) -> dict[str, flo
 
 def judge(docs: DataFrame, rules=RULES, steps: int = STEPS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, the counts, ``base_failed``, ``good`` (posterior probability) and ``kept``."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _judged(counts(rows, "doc_id"), ["doc_id"], rules, steps)
+
+
+def _judged(found: DataFrame, keep: list[str], rules, steps: int) -> DataFrame:
     names = [r[0] for r in rules]
-    found = stored(counts(docs, id_col, text_col).select("*", *(F.expr(vote(g, b)).alias(f"v_{n}") for n, g, b in rules)), "counts")
+    found = stored(found.select("*", *(F.expr(vote(g, b)).alias(f"v_{n}") for n, g, b in rules)), "counts")
     parameters = fit(found, names, steps)
-    assert all(math.isfinite(v) for v in parameters.values())
     odds = F.expr(log_odds(names, {k: f"{v!r}D" for k, v in parameters.items()}))
     failed = F.expr(BASE_FAILED)
     return found.select(
-        "doc_id",
+        *keep,
         *COUNTS,
         failed.alias("base_failed"),
         (1 / (1 + F.exp(-odds))).alias("good"),
@@ -178,6 +179,15 @@ def judge(docs: DataFrame, rules=RULES, steps: int = STEPS, id_col: str = "doc_i
     )
 
 
+def keep(docs: DataFrame, rules=RULES, steps: int = STEPS, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    Rows travel with their counts in one struct column, so no name can clash and no join by id is needed.
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).cast("string").alias("text"))
+    return _judged(counts(rows, "row"), ["row"], rules, steps).filter("kept").select("row.*")
+
+
 def oracle(rules=RULES, steps: int = STEPS) -> str:
     """The same as DuckDB SQL, with the steps of the fit written out."""
     names = [r[0] for r in rules]
