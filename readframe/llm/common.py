@@ -60,9 +60,9 @@ def pieces(batch: pa.RecordBatch, text_col: str, most: int = PIECE_BYTES) -> Ite
     yield batch.slice(begin)
 
 
-def each_piece(batches: Iterable[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+def each_piece(batches: Iterable[pa.RecordBatch], text_col: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from pieces(batch, text_col)
+        yield from pieces(batch, text_col, most)
 
 
 def texts_of(batch: pa.RecordBatch, text_col: str) -> list[str]:

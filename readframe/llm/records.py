@@ -1,7 +1,8 @@
 """Token ids in length-delimited binary records, with an offset index for reads in any order.
 
-A record is: length of the data (unsigned 64-bit, little-endian), masked CRC-32 of those eight bytes, the data (ids as
-little-endian unsigned 32-bit integers), masked CRC-32 of the data. Each task of a sorted table writes one file under
+A record is: length of the data (unsigned 64-bit, little-endian), masked CRC-32 of those eight bytes, the data, masked
+CRC-32 of the data. The data is one byte, 2 or 4, and the ids as little-endian unsigned integers of so many bytes: 2
+where every id of the record fits. Each task of a sorted table writes one file under
 a name of its own attempt; only files that a finished task reports are in the index, so a lost or repeated task leaves
 at most a file that nothing refers to. The index is a Parquet table beside the files.
 
@@ -11,6 +12,8 @@ local or shared disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import uuid
 import zlib
@@ -26,8 +29,9 @@ from readframe.llm.common import Growing, Numbered, each_piece, gather
 
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
-CACHE_WORDS = 300_000
-READ_BYTES = 8_000_000  # records that lie together are read in ranges of about this size
+CACHE_WORDS, KEPT_WORDS = 300_000, 150_000
+PIECE_BYTES = 2_000_000
+READ_BYTES = 2_000_000  # records that lie together are read in ranges of about this size
 
 
 def masked(data: bytes) -> int:
@@ -41,6 +45,15 @@ def frame(data: bytes) -> bytes:
     return b"".join((length, TAIL.pack(masked(length)), data, TAIL.pack(masked(data))))
 
 
+def pack(ids: np.ndarray) -> bytes:
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1)
+
+
 def unframe(record: bytes, path: str) -> bytes:
     """The data of one whole record; an error if a length or checksum is wrong."""
     length, check = HEAD.unpack_from(record)
@@ -51,31 +64,77 @@ def unframe(record: bytes, path: str) -> bytes:
 
 
 class WordEncoder:
-    """Ids of whole texts from a tokenizer that never joins over white space, one distinct word at a time."""
+    """Ids of whole texts from a tokenizer that never joins over white space, one distinct word at a time.
+
+    Encoding many words as one text is twice as fast as each alone. The ids are then told apart by the mark that ends
+    a token's word, counting the matches of the split pattern in each word. Words whose normal form depends on Unicode
+    tables, or that hold a special token, are encoded alone; so is every word where the tokenizer is built otherwise.
+    """
 
     def __init__(self, definition: str) -> None:
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.clear()
-
-    def clear(self) -> None:
-        self.words, self.ids, self.lens = Numbered(), Growing(np.uint32), Growing(np.int64)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
+        self.tokenizer, parts = Tokenizer.from_str(definition), json.loads(definition)
+        self.mark = parts["model"].get("end_of_word_suffix")
+        splits = [p["pattern"]["Regex"] for p in (parts.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        special = "|".join(regex.escape(t["content"]) for t in parts.get("added_tokens", [])) or "$."
+        plain = f"(?!.*(?:{special}))[\x21-\x7e\xa1-\u012f\u0131-\u024f]+"
+        self.together = regex.compile(plain).fullmatch if self.mark and len(splits) == 1 else None
+        self.split = regex.compile(splits[0]) if splits else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if self.mark and t.endswith(self.mark)]] = True
+        self.words, self.ids, self.starts, self.lens = Numbered(), Growing(np.uint32), Growing(np.int64), Growing(np.int64)
+
+    def shrink(self) -> None:
+        """Forget all but the words seen first, which are the common ones."""
+        for word in list(self.words)[KEPT_WORDS:]:
+            del self.words[word]
+        starts, lens = self.starts.view()[:KEPT_WORDS].copy(), self.lens.view()[:KEPT_WORDS].copy()
+        kept = gather(self.ids.view(), starts, lens)
+        self.starts.size = self.lens.size = self.ids.size = 0
+        self.starts.extend(np.cumsum(lens) - lens)
+        self.lens.extend(lens)
+        self.ids.extend(kept)
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lens = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+        return np.fromiter((i for ids in coded for i in ids), dtype=np.uint32, count=int(lens.sum())), lens
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        findall, ends = self.split.findall, np.flatnonzero(self.ends[ids])
+        matches = np.cumsum(np.fromiter((len(findall(w.lower())) for w in words), dtype=np.int64, count=len(words)))
+        if len(ends) != matches[-1] or not np.diff(matches, prepend=0).all():
+            return self._alone(words)
+        return ids, np.diff(ends[matches - 1] + 1, prepend=0)
+
+    def learn(self) -> None:
+        new, self.words.new = [w.decode() for w in self.words.new], []
+        fit = np.fromiter((self.together is not None and self.together(w) is not None for w in new), dtype=bool, count=len(new))
+        starts, lens, at = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64), self.ids.size
+        for own, step, encode in ((np.flatnonzero(fit), 500, self._joined), (np.flatnonzero(~fit), 4_000, self._alone)):
+            for low in range(0, len(own), step):
+                part = own[low : low + step]
+                ids, sizes = encode([new[i] for i in part.tolist()])
+                self.ids.extend(ids)
+                starts[part], lens[part] = at + np.cumsum(sizes) - sizes, sizes
+                at += len(ids)
+        self.starts.extend(starts)
+        self.lens.extend(lens)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words) > CACHE_WORDS:
-            self.clear()
+            self.shrink()
         number, found = self.words.__getitem__, []
         for text in texts:
             words = text.encode().split()  # ASCII white space only; the tokenizer sees to the rest
             found.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
-        new, self.words.new = [w.decode() for w in self.words.new], []
-        for begin in range(0, len(new), 20_000):
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(new[begin : begin + 20_000], add_special_tokens=False)]
-            self.lens.extend(np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)))
-            self.ids.extend(np.fromiter((i for ids in coded for i in ids), dtype=np.uint32))
-        lens, ids = self.lens.view(), self.ids.view()
-        starts = np.cumsum(lens) - lens
+        self.learn()
+        starts, lens, ids = self.starts.view(), self.lens.view(), self.ids.view()
         return [gather(ids, starts[w], lens[w]) for w in found]
 
 
@@ -109,12 +168,12 @@ def write(
         shard = TaskContext.get().partitionId()
         path = f"{folder}/records-{shard:06d}-{uuid.uuid4().hex}.rec"
         out = None
-        for batch in each_piece(batches, "text"):
+        for batch in each_piece(batches, "text", PIECE_BYTES):
             if not batch.num_rows:
                 continue
             out = out or files[0].open_output_stream(fs.FileSystem.from_uri(path)[1])
             records = [np.concatenate([i, end]) for i in encoder.encode(batch.column("text").to_pylist())]
-            framed = [frame(r.astype("<u4").tobytes()) for r in records]
+            framed = [frame(pack(r)) for r in records]
             out.write(b"".join(framed))
             tokens, sizes = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (records, framed))
             n = len(records)
@@ -149,7 +208,8 @@ def write(
 
 
 def read(spark: SparkSession, index: DataFrame, *keep: str) -> DataFrame:
-    """The records that ``index`` names, in any order or selection: the ``keep`` columns and ``ids`` (binary).
+    """The records that ``index`` names, in any order or selection: the ``keep`` columns and ``ids`` (binary, unsigned
+    32-bit, little-endian).
 
     Lengths and both checksums of every record are verified; a broken record is an error.
     """
@@ -171,7 +231,9 @@ def read(spark: SparkSession, index: DataFrame, *keep: str) -> DataFrame:
                     system, inner = fs.FileSystem.from_uri(path)
                     opened, name = system.open_input_file(inner), path
                 block = opened.read_at(reach - first, first)
-                data = [unframe(block[o - first : o - first + n], path) for _, o, n in rows[begin:end]]
+                data = [
+                    unpack(unframe(block[o - first : o - first + n], path)).astype("<u4").tobytes() for _, o, n in rows[begin:end]
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(begin, end - begin).columns[: len(keep)], pa.array(data, pa.binary())], names=[*keep, "ids"]
                 )
