@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readframe.llm import bpe, chat, decontaminate, hmm, jaccard, langid, quality, records, toxicity
+from readframe.llm import bpe, chat, decontaminate, hmm, jaccard, langid, quality, records, toxicity, urls
 from readframe.llm.catalog import query
 from readframe.llm.common import fold, table
 from readframe.session import scratch_path
@@ -108,3 +108,54 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_hmm")
 def op6_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
+# Fetch days and list histories follow from the pages: each host, host with its first path part, and domain has a
+# history of four entries whose days and verdicts come from the smallest page id that has it.
+OP4_KEYS = """
+SELECT key, min(page_id) AS m FROM (
+  SELECT page_id, host AS key FROM hosts UNION ALL
+  SELECT page_id, concat(host, '/', part) FROM hosts WHERE part <> '' UNION ALL
+  SELECT page_id, regexp_extract(host, '([^.]+[.][^.]+)$', 1) FROM hosts) k WHERE key <> '' GROUP BY key
+"""
+OP4_ENTRIES = """
+SELECT CASE WHEN (m + k) % 2 = 0 THEN 'ads' ELSE 'spam' END AS list, key,
+  CASE (m + k) % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'allow' END AS verdict, (m * 37 + k * 251) % 1000 AS day
+FROM keys, (SELECT * FROM (VALUES (0), (1), (2), (3)) AS t(k)) AS n
+"""
+OP4_HOSTS = """
+SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+  regexp_extract(url, '^[^:]+://[^/?#]*/([^/?#]+)', 1) AS part FROM pages
+"""
+OP4_SQL = f"""
+WITH hosts AS ({OP4_HOSTS}), keys AS ({OP4_KEYS}), entries AS ({OP4_ENTRIES}),
+daily AS (SELECT list, key, day, arg_max(coalesce(verdict, 'end'), CASE verdict WHEN 'block' THEN 2 WHEN 'allow' THEN 1 ELSE 0 END) AS verdict
+  FROM entries GROUP BY list, key, day),
+changed AS (SELECT * FROM daily QUALIFY verdict IS DISTINCT FROM
+  coalesce(lag(verdict) OVER (PARTITION BY list, key ORDER BY day), 'end')),
+spans AS (SELECT list, key, verdict, day AS since, lead(day) OVER (PARTITION BY list, key ORDER BY day) AS until FROM changed),
+captures AS (SELECT page_id, url, page_id * 7919 % 1000 AS day, lower(regexp_extract(url,
+    '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+  list_filter(string_split(regexp_extract(url, '^[^:]+://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts FROM pages),
+asked AS (
+  SELECT page_id, day, array_to_string(string_split(host, '.')[i:], '.') AS key
+  FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM captures WHERE host <> '')
+  UNION SELECT page_id, day, concat(host, '/', array_to_string(parts[:i], '/'))
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM captures WHERE host <> '')),
+found AS (SELECT page_id, day, key, verdict, list FROM asked JOIN spans USING (key)
+  WHERE verdict IN ('block', 'allow') AND since <= day AND (until IS NULL OR day < until)
+  QUALIFY row_number() OVER (PARTITION BY page_id, day ORDER BY length(key) DESC, key DESC, verdict = 'block' DESC, list) = 1)
+SELECT c.page_id, c.url, c.day, coalesce(f.verdict, 'none') AS verdict, f.key AS matched_key, f.list AS matched_list
+FROM captures c LEFT JOIN found f ON c.page_id = f.page_id AND c.day = f.day
+"""
+
+
+@query("op4_urls", OP4_SQL)
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = spark.sql(OP4_HOSTS.replace("FROM pages", "FROM {pages}"), pages=pages)
+    listed = spark.sql(OP4_KEYS.replace("FROM hosts", "FROM {hosts}"), hosts=hosts)
+    entries = spark.sql(OP4_ENTRIES.replace("FROM keys", "FROM {listed}"), listed=listed)
+    captures = pages.withColumn("day", F.col("page_id") * 7919 % 1000)
+    told = urls.evaluate(captures, entries)
+    return told.withColumnsRenamed({"_verdict": "verdict", "_key": "matched_key", "_list": "matched_list"})
