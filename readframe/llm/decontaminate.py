@@ -108,7 +108,7 @@ class Automaton:
         return self.chain[state]
 
     def search(self, words: list[bytes], hit: np.ndarray, names: set) -> int:
-        """Mark hit words, add the names of the items, and return the longest match."""
+        """Mark hit words, add the names of the items, and return the longest match of a window or more."""
         ids = np.fromiter((self.words.get(w, -1) for w in words), dtype=np.int64, count=len(words))
         known = np.concatenate([[False], ids >= 0, [False]])
         edges = np.flatnonzero(known[1:] != known[:-1])
@@ -117,8 +117,8 @@ class Automaton:
             if end - begin < self.least:
                 continue
             for at, (state, length) in enumerate(self.walk(ids[begin:end].tolist(), 0), begin + 1):
-                most = max(most, length)
                 if length >= self.least:
+                    most = max(most, length if length >= self.window else 0)
                     for holder, size in self.hits(state):
                         if size <= length:
                             hit[at - size : at] = True
@@ -193,7 +193,7 @@ def matches(
 
     ``spans`` are the runs of hit words as (begin, end); ``items`` are the ids, as sorted strings, of the items with
     occurring windows. Null texts and items have no words; an item with a null id hits without a name; equal ids
-    count once. No items or no documents give no hits or no rows. Repeated rows stay; other columns are not read.
+    count once. ``longest`` is the longest match of ``window`` words or more, else 0. No items or no documents give no hits or no rows. Repeated rows stay; other columns are not read.
     """
     lots = _lots(items, item_col, text_col, lot_words)
     source = docs.selectExpr(f"`{id_col}` AS doc_id", f"CAST(`{text_col}` AS STRING) AS text")
