@@ -377,3 +377,108 @@ def matrix_csv(spark, sf):
     files.write_matrices(v.counts(spark, sf), path, samples=[f"cell{i}" for i in range(8)])
     both = [spark.read.csv(f"{path}/{name}.csv", header=True) for name in ("samples_expression", "samples_qc_report")]
     return both[0].unionByName(both[1])
+
+
+# ---- whole jobs, from files to files -------------------------------------------------------
+
+
+def _mate_files(spark, sf, folder: str) -> DataFrame:
+    """One FASTQ file per sample and mate, ``<sample>_<mate>.fastq``, and the manifest that lists them."""
+    for mate, table in ((1, v.reads1(spark, sf)), (2, v.reads2(spark, sf))):
+        record = F.concat_ws("\n", "read_id", "seq", F.lit("+"), "qual")
+        name = F.concat("sample", F.lit(f"_{mate}.fastq"))
+        ordered = table.select(name.alias("name"), "sample", "ordinal", record.alias("value"))
+        rows = ordered.repartition("name").sortWithinPartitions("name", "ordinal")
+        rows.select("name", "value").write.mode("append").partitionBy("name").text(folder)
+    files.name_files(spark, folder, "name")
+    samples = v.reads1(spark, sf).select("sample").distinct()
+    return samples.select(F.concat("sample", F.lit("_1.fastq\t"), "sample", F.lit("_2.fastq")).alias("value"))
+
+
+@query(
+    "split_job",
+    ("v_reads1", "v_reads2"),
+    """SELECT concat(a.sample, '_1') AS sample, concat_ws(chr(9), a.read_id, a.seq, '+', a.qual, coalesce(b.read_id, ''), coalesce(b.seq, ''),
+  CASE WHEN b.seq IS NULL THEN '' ELSE '+' END, coalesce(b.qual, '')) AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ordinal) AS n FROM v_reads1) a
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ordinal) AS n FROM v_reads2) b ON a.sample = b.sample AND a.n = b.n""",
+)
+def split_job(spark, sf):
+    """Mate files of unequal length through the whole job; the parts are read by the names in its report."""
+    folder = scratch_path(spark, "mates")
+    manifest = _written(spark, _mate_files(spark, sf, folder), "manifest")
+    out = scratch_path(spark, "split")
+    jobs.split(spark, manifest, folder, out, limit=262_144)
+    names = [f"{out}/parts/{r.value}" for r in spark.read.text(f"{out}/report").collect()]
+    return jobs.read_split(spark, names).select("sample", "value")
+
+
+@query(
+    "quantify_job",
+    ("v_align", "v_exon", "v_regions"),
+    """WITH b AS (SELECT sample, read_id, mate, chrom_id, start0 AS s, start0 + 25 AS e FROM v_align
+  UNION ALL SELECT sample, read_id, mate, chrom_id, end0 - 20, end0 FROM v_align),
+n AS (SELECT sample, read_id, count(*) AS n FROM v_align GROUP BY ALL)
+SELECT sample, 'QC_picard_pf_aligned_bases' AS feature, CAST(sum(e - s) AS BIGINT) AS cnt FROM b GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Number_of_input_reads', count(*) FROM n GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Uniquely_mapped_reads_number', count(*) FILTER (n = 1) FROM n GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Number_of_reads_mapped_to_multiple_loci', count(*) FILTER (n BETWEEN 2 AND 10) FROM n GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Number_of_reads_mapped_to_too_many_loci', count(*) FILTER (n > 10) FROM n GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Number_of_splices:_Total', count(*) FROM v_align GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Number_of_splices:_Annotated_(sjdb)', 0 FROM v_align GROUP BY sample""",
+)
+def quantify_job(spark, sf):
+    """Spliced alignments (25 bases, an intron, 20 bases): introns are no aligned bases, splices are counted."""
+    piece = lambda s, e: F.struct(s.cast("bigint").alias("s"), e.cast("bigint").alias("e"))
+    start, end = F.col("start0"), F.col("end0")
+    spliced = v.align(spark, sf).select(
+        "*",
+        F.array(piece(start, start + 25), piece(end - 20, end)).alias("blocks"),
+        F.array(piece(start + 25, end - 20)).alias("introns"),
+    )
+    counts = jobs.quantify(spliced, v.exons(spark, sf), regions=v.regions(spark, sf))
+    wanted = F.col("feature").startswith("QC_STAR_") | (F.col("feature") == "QC_picard_pf_aligned_bases")
+    return counts.filter(wanted).select("sample", "feature", "cnt")
+
+
+@query(
+    "accuracy_self",
+    ("v_chain", "v_intron"),
+    """SELECT unnest(['base', 'exon', 'intron', 'intron_chain', 'transcript', 'locus']) AS level, CAST(0 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS fn""",
+)
+def accuracy_self(spark, sf):
+    """A table against itself is right on every level."""
+    from readframe.operators.compare import accuracy
+
+    table = _candidates(spark, sf)
+    return accuracy(table, table).select("level", "fp", "fn")
+
+
+@query(
+    "candidate_support",
+    "v_splice",
+    """WITH f AS (SELECT sample, read_id // 2 AS frag, chrom_id, strand, intron_s, intron_e FROM v_splice GROUP BY ALL),
+c AS (SELECT sample, frag, chrom_id, strand, string_agg(concat(intron_s, '-', intron_e), ',' ORDER BY intron_s, intron_e) AS chain
+  FROM f GROUP BY sample, frag, chrom_id, strand)
+SELECT chrom_id, strand, chain, count(*) AS support FROM c GROUP BY ALL""",
+)
+def candidate_support(spark, sf):
+    """Mates share an id; the introns of a fragment are one chain, and support counts fragments."""
+    hits = v.splices(spark, sf).select(
+        "sample", F.expr("read_id div 2").alias("read_id"), "chrom_id", "strand",
+        F.col("intron_s").alias("start0"), F.col("intron_e").alias("end0"),
+        F.array(F.struct(F.col("intron_s").alias("s"), F.col("intron_e").alias("e"))).alias("introns"),
+    )
+    table = transcripts.chains(transcripts.fragment_chains(hits), "start0", "end0")
+    text = F.array_join(F.transform("chain", lambda i: F.concat_ws("-", i["s"], i["e"])), ",")
+    return table.select("chrom_id", "strand", text.alias("chain"), "support")
+
+
+@query("accuracy_sink", ("v_chain", "v_intron"), "SELECT CAST(6 AS BIGINT) AS n_levels")
+def accuracy_sink(spark, sf):
+    """The written accuracy table has one row per level."""
+    from readframe.operators.compare import accuracy
+
+    path = scratch_path(spark, "accuracy")
+    files.write_accuracy(accuracy(_candidates(spark, sf), v.transcripts(spark, sf)), path)
+    return spark.read.csv(path, header=True).agg(F.count_distinct("level").alias("n_levels"))

@@ -182,7 +182,7 @@ SELECT chrom_id, min(start0) AS start0, max(end0) AS end0 FROM i GROUP BY chrom_
 
 @query("exon_islands", "v_exon", ISLANDS_SQL.format("exon"))
 def exon_islands(spark, sf):
-    return intervals.merged_features(v.exons(spark, sf), ["chrom_id"])
+    return intervals.islands(v.exons(spark, sf), ["chrom_id"])
 
 
 @query("read_islands", "v_align", ISLANDS_SQL.format("align"))
@@ -357,7 +357,7 @@ def star_strand_column(spark, sf):
 @query(
     "no_feature_reads",
     ("v_align", "v_exon"),
-    f"""SELECT DISTINCT read_id, sample, chrom_id, start0, end0 FROM v_align a
+    f"""SELECT read_id, sample, chrom_id, start0, end0 FROM v_align a
 WHERE NOT EXISTS (SELECT 1 FROM v_exon e WHERE {OVERLAP})""",
 )
 def no_feature_reads(spark, sf):
@@ -525,7 +525,7 @@ SEED, STRIDE = mapping.SEED, mapping.STEP
 @query(
     "kmer_map",
     ("v_reads1", "v_refseq"),
-    f"""WITH d AS (SELECT seq, min(chrom_id) AS chrom_id FROM v_refseq GROUP BY seq),
+    f"""WITH d AS (SELECT seq, min(chrom_id) AS chrom_id, count(*) AS copies FROM v_refseq GROUP BY seq),
 t AS (SELECT chrom_id, p AS pos, substring(seq, p + 1, {SEED}) AS kmer FROM (SELECT chrom_id, seq,
   unnest(range(0, length(seq) - {SEED} + 1)) AS p FROM d) x),
 r AS (SELECT DISTINCT seq FROM v_reads1 WHERE length(seq) >= {SEED}),
@@ -533,8 +533,9 @@ b AS (SELECT seq, '+' AS strand, seq AS bases FROM r UNION ALL SELECT seq, '-',
 s AS (SELECT seq, strand, o, substring(bases, o + 1, {SEED}) AS kmer FROM (SELECT seq, strand, bases,
   unnest(range(0, length(seq) - {SEED} + 1, {STRIDE})) AS o FROM b) y),
 v AS (SELECT seq, chrom_id, strand, pos - o AS diagonal, count(*) AS votes FROM s JOIN t USING (kmer) GROUP BY ALL HAVING count(*) >= 2),
-w AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY seq ORDER BY votes DESC, chrom_id, strand, diagonal) = 1)
-SELECT a.sample, a.ordinal, w.chrom_id, w.strand, w.diagonal, w.votes FROM v_reads1 a LEFT JOIN w ON w.seq = a.seq""",
+w AS (SELECT v.*, count(*) OVER (PARTITION BY v.seq, votes) = 1 AND copies = 1 AS alone FROM v JOIN d USING (chrom_id)
+  QUALIFY row_number() OVER (PARTITION BY v.seq ORDER BY votes DESC, chrom_id, strand, diagonal) = 1)
+SELECT a.sample, a.ordinal, w.chrom_id, w.strand, w.diagonal, w.votes, w.alone FROM v_reads1 a LEFT JOIN w ON w.seq = a.seq""",
 )
 def kmer_map(spark, sf):
     table = v.reads1(spark, sf).select("sample", "ordinal", "seq")

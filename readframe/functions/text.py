@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 PHRED_OFFSET = 33
-PART_PATTERN = r"(.*_part[0-9]*)\."
+# A part file is named <sample>_part<number>.<extension>; the last such mark of a name counts.
+PART_MARK = r"^(?<sample>.+)_part(?<number>\d+)\.[^/]+$"
 
 
 def base_name(path: Column | str) -> Column:
@@ -15,12 +16,11 @@ def base_name(path: Column | str) -> Column:
 def part_key(path: Column | str) -> Column:
     """``struct(sample, part_no)`` of a part file name; an unusable name is an error."""
     name = base_name(path)
-    prefix = F.regexp_extract(name, PART_PATTERN, 1)
-    digits = F.regexp_extract(prefix, r"_part([0-9]*)$", 1)
-    good = (F.size(F.regexp_extract_all(name, F.lit(PART_PATTERN), 1)) == 1) & (digits != "")
+    sample, digits = F.regexp_extract(name, PART_MARK, 1), F.regexp_extract(name, PART_MARK, 2)
+    good = digits != ""
     failure = F.raise_error(F.concat(F.lit("file name has no usable part number: "), name))
     return F.struct(
-        F.when(good, F.regexp_replace(prefix, r"_part[0-9]*$", "")).otherwise(failure.cast("string")).alias("sample"),
+        F.when(good, sample).otherwise(failure.cast("string")).alias("sample"),
         F.when(good, digits.try_cast("int")).alias("part_no"),
     )
 
@@ -55,11 +55,5 @@ def qualities_below(limit: int) -> str:
     return "".join(chr(PHRED_OFFSET + q) for q in range(max(limit, 0)))
 
 
-def read_key(read_id: Column, strip_mate_suffix: bool = False) -> Column:
-    """First word of a read id; ``/1`` and ``/2`` stay unless asked for."""
-    key = F.element_at(F.split(read_id, "[ \t]"), 1)
-    return F.regexp_replace(key, "/[12]$", "") if strip_mate_suffix else key
-
-
 def opposite(strand: Column) -> Column:
     return F.when(strand == "+", "-").when(strand == "-", "+").otherwise(strand)

@@ -62,7 +62,10 @@ def _introns(table: DataFrame) -> DataFrame:
 
 
 def locus_tally(query: DataFrame, reference: DataFrame) -> DataFrame:
-    """A locus (merged span of transcripts) matches when it shares an intron chain with the other side."""
+    """A locus (merged span of transcripts) matches when it shares an intron chain with the other side.
+
+    A transcript without introns is shared with one of the other side that it overlaps.
+    """
     from readframe.operators.intervals import islands, overlap_join
 
     keys = ["chrom_id", "strand"]
@@ -74,6 +77,10 @@ def locus_tally(query: DataFrame, reference: DataFrame) -> DataFrame:
         .select(*keys, F.col("chain")[0]["s"].alias("start0"), (F.col("chain")[0]["s"] + 1).alias("end0"))
         .distinct()
     )
+    singles = [t.filter(F.size("chain") == 0).select(*keys, "start0", "end0").distinct() for t in (query, reference)]
+    met = overlap_join(*singles, on=tuple(keys))
+    low, high = F.greatest("start0", "r_start0"), F.least("end0", "r_end0")
+    shared = shared.union(met.select(*keys, low, high).distinct())
 
     def loci(table: DataFrame) -> tuple[DataFrame, DataFrame]:
         spans = settle(islands(table.select(*keys, "start0", "end0"), keys))

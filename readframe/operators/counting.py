@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from readframe.functions.cigar import INTERVALS
 from readframe.functions.text import opposite
-from readframe.operators.intervals import merged_features, overlap_bases, overlap_join
+from readframe.operators.intervals import islands, merged_features, overlap_bases, overlap_join
 
 STRANDED = ("no", "yes", "reverse")
 HTSEQ_MODES = ("union", "intersection-strict", "intersection-nonempty")
@@ -77,16 +77,17 @@ def _strand_test(stranded: str):
 
 
 def _features(exons: DataFrame) -> DataFrame:
-    """Merged exons of each gene, so that no base counts twice."""
-    return merged_features(exons, ["gene", "chrom_id", "strand"]).withColumnRenamed("strand", "r_strand")
+    """Merged exons of each gene, so that no base counts twice (W5). Exons without a gene belong to none and are left out."""
+    return merged_features(exons.filter("gene is not null"), ["gene", "chrom_id", "strand"]).withColumnRenamed("strand", "r_strand")
 
 
 def _covered(exons: DataFrame, stranded: str) -> DataFrame:
     """Stretches that lie in any gene (of one strand where the library is stranded), without a gene."""
     no_gene = F.lit(None).cast("string").alias("gene")
+    exons = exons.filter("gene is not null")
     if stranded == "no":
-        return merged_features(exons, ["chrom_id"]).select(no_gene, "*", F.lit(".").alias("r_strand"))
-    return merged_features(exons, ["chrom_id", "strand"]).select(
+        return islands(exons, ["chrom_id"]).select(no_gene, "*", F.lit(".").alias("r_strand"))
+    return islands(exons, ["chrom_id", "strand"]).select(
         no_gene, "chrom_id", F.col("strand").alias("r_strand"), "start0", "end0"
     )
 
@@ -257,11 +258,12 @@ def strand_column(counts: DataFrame, strand_specificity: str = "NONE") -> DataFr
 def no_feature_reads(alignments: DataFrame, exons: DataFrame) -> DataFrame:
     """Alignments that touch no exon, from one outer overlap join.
 
-    The caller's columns identify an alignment; equal rows come back as one.
+    Equal alignments all come back, with any columns.
     """
-    columns = alignments.columns
-    pairs = overlap_join(alignments, _features(exons).select("gene", "chrom_id", "start0", "end0"), how="left")
-    return pairs.groupBy(*columns).agg(F.count("gene").alias("_n")).filter("_n = 0").drop("_n")
+    numbered = alignments.withColumn("_row", F.monotonically_increasing_id())
+    pairs = overlap_join(numbered, _features(exons).select("gene", "chrom_id", "start0", "end0"), how="left")
+    whole = F.first(F.struct(*alignments.columns)).alias("_a")
+    return pairs.groupBy("_row").agg(F.count("gene").alias("_n"), whole).filter("_n = 0").select("_a.*")
 
 
 def prefix_counts(counts: DataFrame, tool: str) -> DataFrame:

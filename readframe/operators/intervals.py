@@ -215,11 +215,11 @@ def islands(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def merged_features(features: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """W5 for annotation tables. A window per key is enough once the whole table was counted
-    and found small; a larger table takes the cell-wise way of :func:`islands`."""
-    if not fits(features, max_rows):
-        return islands(features, keys)
+def merged_features(features: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """W5 for keys of few rows each, as the exons of one gene: a window per key.
+
+    The same rows as :func:`islands`, which is the way for keys of any size, null keys included.
+    """
     order = Window.partitionBy(*keys).orderBy("start0", "end0")
     seen = F.max("end0").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = features.filter("start0 < end0").withColumn(

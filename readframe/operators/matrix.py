@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 QC_PREFIX = "QC_"
-MAX_PIVOT_SAMPLES = 10_000
+FORMS = ("wide", "array", "long")
 
 
 def with_kind(counts: DataFrame) -> DataFrame:
@@ -29,29 +29,30 @@ def counts_map(counts: DataFrame) -> DataFrame:
     )
 
 
-def sample_names(counts: DataFrame, limit: int = MAX_PIVOT_SAMPLES) -> list[str] | None:
-    """Sorted sample names for the wide form, or None when there are more than ``limit``."""
-    rows = counts.select("sample").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(row[0] for row in rows)
+def sample_names(counts: DataFrame) -> list[str]:
+    """Sorted sample names, one column each in the wide form."""
+    return sorted(row[0] for row in counts.select("sample").distinct().collect())
 
 
-def count_matrix(counts: DataFrame, samples: Sequence[str] | None = None) -> DataFrame:
-    """One row per feature, one column per sample, NULL where a sample has none.
+def count_matrix(counts: DataFrame, samples: Sequence[str] | None = None, form: str = "wide") -> DataFrame:
+    """One row per feature, NULL where a sample has none.
 
-    More samples than a pivot may have give columns ``feature, samples, counts`` instead,
-    with the values as an array in the order of the sorted samples.
+    The form is the caller's choice: ``wide`` has one column per sample, ``array`` has the columns ``feature`` and
+    ``counts`` with the values in the order of the sorted samples, ``long`` is one row per sample and feature. Counts
+    of samples that are not among given ``samples`` are an error.
     """
-    samples = list(samples) if samples is not None else sample_names(counts)
-    if samples is not None and len(samples) <= MAX_PIVOT_SAMPLES:
-        return counts.groupBy("feature").pivot("sample", samples).agg(F.sum("cnt").cast("bigint"))
-    if samples is None:
-        return counts_map(counts).select(
-            "feature", F.map_keys("counts").alias("samples"), F.map_values("counts").alias("counts")
-        )
-    names = F.array(*[F.lit(s) for s in samples])
-    return counts_map(counts).select(
-        "feature", names.alias("samples"), F.transform(names, lambda s: F.col("counts")[s]).alias("counts")
-    )
+    if form not in FORMS:
+        raise ValueError(f"form must be one of {FORMS}")
+    if form == "long":
+        return sum_counts(counts)
+    names = sorted(samples) if samples is not None else sample_names(counts)
+    if samples is not None:
+        listed = F.col("sample").isin(*names) | F.raise_error(F.concat(F.lit("sample is not listed: "), "sample")).cast("boolean")
+        counts = counts.filter(listed)
+    if form == "wide":
+        return counts.groupBy("feature").pivot("sample", names).agg(F.sum("cnt").cast("bigint"))
+    order = F.array(*[F.lit(n) for n in names])
+    return counts_map(counts).select("feature", F.transform(order, lambda s: F.col("counts")[s]).alias("counts"))
 
 
 def split_kinds(counts: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -165,6 +165,27 @@ def pair_summary(alignments: DataFrame, keys: Sequence[str] = ("sample", "read_i
     )
 
 
+# The lines of the aligner's pair summary, as the report spells them.
+PAIR_LINES = {
+    "fragments": "reads;_of_these:",
+    "pairs": "were_paired;_of_these:",
+    "concordant_0": "aligned_concordantly_0_times",
+    "concordant_1": "aligned_concordantly_exactly_1_time",
+    "concordant_more": "aligned_concordantly_>1_times",
+    "mates_0": "aligned_0_times",
+    "mates_1": "aligned_exactly_1_time",
+    "mates_more": "aligned_>1_times",
+}
+
+
+def pair_records(summary: DataFrame) -> DataFrame:
+    """The pair summary as QC records under the names of the aligner's summary."""
+    entries = F.array(
+        *[F.struct(F.lit(f"QC_HISAT_{n}").alias("feature"), F.col(c).cast("bigint").alias("cnt")) for c, n in PAIR_LINES.items()]
+    )
+    return summary.select("sample", F.lit("qc").alias("kind"), F.inline(entries))
+
+
 def class_segments(regions: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
     """Disjoint stretches of one base class. ``regions``: ``(chrom_id, start0, end0, base_class)``.
 

@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 WIDTH = 65_536
 
 
+def join_cells(rows: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of ``cells`` (one row per ``keys``); null keys are equal."""
+    renamed = cells.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(renamed, same).drop(*[f"_k_{k}" for k in keys])
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -43,7 +50,7 @@ def running_sum(
     bases = running_sum(
         totals, keys, cell, {f"_base_{out}": f"_total_{out}" for out in sums}, width, levels - 1
     ).drop(*[f"_total_{out}" for out in sums])
-    return inside.join(bases, [*keys, cell]).select(
+    return join_cells(inside, bases, [*keys, cell]).select(
         *df.columns, *[(F.col(f"_in_{out}") + F.col(f"_base_{out}")).alias(out) for out in sums]
     )
 
@@ -74,7 +81,7 @@ def running_sum_and_next(
         *[F.coalesce(F.sum(f"_total_{out}").over(earlier), F.lit(0)).alias(f"_base_{out}") for out in sums],
         F.lead("_first").over(cell_order).alias("_after"),
     )
-    return inside.join(bases, [*keys, "_cell"]).select(
+    return join_cells(inside, bases, [*keys, "_cell"]).select(
         *df.columns,
         *[(F.col(f"_in_{out}") + F.col(f"_base_{out}")).alias(out) for out in sums],
         F.coalesce("_lead", "_after").alias(following),
@@ -89,6 +96,6 @@ def next_position(df: DataFrame, keys: Sequence[str], pos: str, out: str, width:
     following = firsts.select(
         *keys, "_cell", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_cell")).alias("_after")
     )
-    return inside.join(following, [*keys, "_cell"]).select(
+    return join_cells(inside, following, [*keys, "_cell"]).select(
         *df.columns, F.coalesce("_next", "_after").alias(out)
     )

@@ -25,11 +25,6 @@ def splice_fragments(splices: DataFrame, keys: Sequence[str] = ("read_id",)) ->
     )
 
 
-def distinct_fragments(alignments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop the copies that tiling makes of a read in two bins."""
-    return alignments.dropDuplicates(list(keys))
-
-
 def chains(frags: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Distinct intron chains: ``(chrom_id, strand, chain, support, start0, end0)``.
 
@@ -101,13 +96,33 @@ def single_exon_islands(blocks: DataFrame) -> DataFrame:
     return found.select("chrom_id", "strand", "chain", F.lit(0).cast("bigint").alias("support"), "start0", "end0")
 
 
+def transcript_strand(alignments: DataFrame) -> DataFrame:
+    """``strand`` of the transcript: the aligner's ``XS`` tag where there is one, else the read's own."""
+    if "tags" not in alignments.columns:
+        return alignments
+    return alignments.withColumn("strand", F.coalesce(F.try_element_at("tags", F.lit("XS")), "strand"))
+
+
+def fragment_chains(alignments: DataFrame) -> DataFrame:
+    """One row per fragment: the introns of all mates of one ``(sample, read_id)`` on a chromosome and strand, and their span.
+
+    The list is bounded by the introns that one fragment can cross.
+    """
+    keys = ["sample", "read_id"] if "sample" in alignments.columns else ["read_id"]
+    introns = F.array_sort(F.array_distinct(F.flatten(F.collect_list("introns")))).alias("chain")
+    return alignments.filter(F.size("introns") > 0).groupBy(*keys, "chrom_id", "strand").agg(
+        introns, F.min("start0").alias("start0"), F.max("end0").alias("end0")
+    )
+
+
 def transcript_candidates(alignments: DataFrame, minimum: int = MIN_INTRON_SUPPORT) -> DataFrame:
-    """A15 from alignments with ``(read_id, chrom_id, strand, start0, end0, introns)``."""
-    spliced = alignments.filter(F.size("introns") > 0).select(
-        "read_id", "chrom_id", "strand", "start0", "end0", F.col("introns").alias("chain")
-    ).distinct()
-    table = drop_contained(supported_chains(chains(spliced, "start0", "end0"), minimum))
-    return table.unionByName(single_exon_islands(alignments.filter(F.size("introns") == 0)))
+    """A15 from alignments with ``(read_id, chrom_id, strand, start0, end0, introns)`` and perhaps ``sample``.
+
+    Evidence is counted in fragments, so mates over one intron count once and equal ids of two samples twice.
+    """
+    stranded = transcript_strand(alignments)
+    table = drop_contained(supported_chains(chains(fragment_chains(stranded), "start0", "end0"), minimum))
+    return table.unionByName(single_exon_islands(stranded.filter(F.size("introns") == 0)))
 
 
 def with_exon_length(table: DataFrame) -> DataFrame:

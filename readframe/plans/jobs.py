@@ -22,15 +22,26 @@ from readframe.sinks import files
 from readframe.sources import annotation as ann
 from readframe.sources.fastq import read_mates
 from readframe.sources.manifest import manifest_files, read_manifest, require_input
-from readframe.sources.parts import as_reads, kept_rows, parse_rows, row_text
+from readframe.session import settle
+from readframe.sources.parts import as_reads, kept_rows, parse_rows, read_part_rows, row_text
 
 
 def split(
     spark: SparkSession, manifest: str, reads: str, out: str, limit: int = PART_BYTES, mode: str = "errorifexists"
 ) -> DataFrame:
-    """Manifest and FASTQ files to numbered parts and their report (``<out>/parts``, ``<out>/report``)."""
+    """Manifest and FASTQ files to numbered parts, their report, and counts of partial records.
+
+    ``<out>/parts`` holds the files that ``<out>/report`` names. Mate 1 leads: a record stays where mate 2 is missing
+    or cut, with blanks in its place, and is counted in ``<out>/partial`` as ``(sample, cut_mate1, short_mate2)``. A
+    record whose mate 1 is cut is only counted. Bad manifest lines and missing files stop the job.
+    """
     listed = require_input(read_manifest(spark, manifest), "manifest")
-    records = read_mates(spark, reads, manifest_files(listed)).filter("complete")
+    found = settle(read_mates(spark, reads, manifest_files(listed)))
+    counted = found.filter("not complete").groupBy("sample").agg(
+        F.count_if(~F.col("whole")).alias("cut_mate1"), F.count_if("whole").alias("short_mate2")
+    )
+    counted.write.mode(files.write_mode(mode)).csv(f"{out}/partial", header=True)
+    records = found.filter("whole").drop("whole")
     sized = records.withColumn("row_bytes", F.octet_length(row_text()) + 1)
     numbered = number_parts(sized, limit=limit)
     files.write_parts(numbered, f"{out}/parts", mode)
@@ -39,16 +50,8 @@ def split(
 
 
 def read_split(spark: SparkSession, path: str) -> DataFrame:
-    """Part rows of a split job: sample and part come from the folders, order from the lines."""
-    from readframe.sources.lines import numbered_lines
-
-    lines = numbered_lines(spark, path)
-    return lines.select(
-        F.url_decode(F.regexp_extract("file", r"/sample=([^/]+)/", 1)).alias("sample"),
-        F.regexp_extract("file", r"/part_no=(\d+)/", 1).cast("int").alias("part_no"),
-        F.col("ln").alias("ordinal"),
-        "value",
-    )
+    """Part rows of a split job: sample and part come from the file names, order from the lines."""
+    return read_part_rows(spark, path)
 
 
 def preprocess(
@@ -64,14 +67,19 @@ def preprocess(
     return trim.survivors(trimmed), trim.trim_report(trimmed, steps)
 
 
-def align(pairs: DataFrame, sequences: DataFrame, aligner: str = "STAR", **options) -> DataFrame:
-    """Pairs to an alignment table. All aligner names lead to the same seed-and-vote mapper."""
+def align(
+    pairs: DataFrame, sequences: DataFrame, aligner: str = "STAR", chroms: DataFrame | None = None, **options
+) -> DataFrame:
+    """Pairs to an alignment table. All aligner names lead to the same seed-and-vote mapper.
+
+    With ``chroms`` the table has the chromosome names and can be written as SAM.
+    """
     pick(aligner, ALIGNERS, "aligner")
     keys = ["sample", "part_no"]
     reads = as_reads(pairs, keys).select(
         *keys, "ordinal", "mate", F.element_at(F.split("read_id", "[ \t]"), 1).alias("read_id"), "seq"
     )
-    return as_alignments(map_reads(reads, sequences, **options))
+    return as_alignments(map_reads(reads, sequences, **options), chroms)
 
 
 def quantify(
@@ -81,11 +89,20 @@ def quantify(
     aligner: str = "STAR",
     strand_specificity: str = "NONE",
     regions: DataFrame | None = None,
+    known: DataFrame | None = None,
+    sequences: DataFrame | None = None,
+    reads: DataFrame | None = None,
+    ribosomal: DataFrame | None = None,
+    ignored: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Alignments to ``(sample, kind, feature, cnt)``: genes, counter QC, aligner QC, base classes.
 
-    Aligner and counter both STAR means direct counting, and then no base-class figures.
+    Aligner and counter both STAR means direct counting, and then no base-class figures. The ten figures of the STAR
+    log need ``known`` introns (else those of the exons are unknown and none is annotated) and, for the kinds of
+    splices, ``sequences``; the HISAT figures need nothing more. The base-class report has all ten figures when
+    ``reads`` (for ``pf_bases``), ``ribosomal`` intervals and ``ignored`` chromosomes are given; without them those
+    figures are 0 or left out.
     """
     tool, mapper = pick(counter, COUNTERS, "counter"), pick(aligner, ALIGNERS, "aligner")
     direct = tool == "star" and mapper == "star"
@@ -99,21 +116,23 @@ def quantify(
     else:
         counts = counting.prefix_counts(counting.feature_counts(alignments, exons, **options), "featureCount")
     parts = [counts]
+    spliced = alignments.filter("chrom_id is not null")
+    spliced = spliced.select("sample", "chrom_id", F.inline("introns").alias("intron_s", "intron_e"))
     if mapper == "star":
-        classes = qc.read_classes(alignments)
-        names = {
-            "input_reads": "Number_of_input_reads",
-            "unique_reads": "Uniquely_mapped_reads_number",
-            "multi_reads": "Number_of_reads_mapped_to_multiple_loci",
-            "too_many_reads": "Number_of_reads_mapped_to_too_many_loci",
-        }
-        entries = F.array(
-            *[F.struct(F.lit(f"QC_STAR_{n}").alias("feature"), F.col(c).alias("cnt")) for c, n in names.items()]
-        )
-        parts.append(classes.select("sample", F.lit("qc").alias("kind"), F.inline(entries)))
+        introns = known if known is not None else spliced.limit(0).select("chrom_id", "intron_s", "intron_e")
+        parts.append(qc.aligner_summary(alignments, spliced, introns, sequences))
+    elif mapper.startswith("hisat"):
+        parts.append(qc.pair_records(qc.pair_summary(alignments)))
     if regions is not None and not direct:
-        blocks = alignments.filter("chrom_id is not null").select("sample", "chrom_id", "start0", "end0")
-        parts.append(qc.base_class_records(qc.base_classes(blocks, regions)))
+        mapped = alignments.filter("chrom_id is not null")
+        blocks = mapped.select("sample", "read_id", "mate", "strand", "chrom_id", F.inline("blocks").alias("start0", "end0"))
+        figures = qc.base_classes(blocks.select("sample", "chrom_id", "start0", "end0"), regions, ribosomal=ribosomal)
+        figures = figures.join(qc.strand_reads(blocks, exons, strand_specificity), "sample", "left")
+        if reads is not None:
+            figures = figures.join(qc.read_bases(reads), "sample", "left")
+        if ignored is not None:
+            figures = figures.join(qc.ignored_reads(mapped, ignored), "sample", "left")
+        parts.append(qc.base_class_records(figures.fillna(0)))
     return sum_counts(union_counts(*parts), ["sample", "kind", "feature"])
 
 

@@ -10,7 +10,6 @@ from readframe.operators.scale import dimension_join
 
 GTF_COLUMNS = ("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
 ATTRIBUTE = r'(\w+)\s+"?([^";]*)"?\s*;?'
-MAX_ADAPTERS = 1_000
 
 
 def read_gtf(
@@ -93,9 +92,9 @@ def class_regions(refflat: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``(name, seq)`` of a FASTA file; entries are split by their ``>`` mark."""
-    entries = spark.read.text(path, lineSep=">").filter(F.trim("value") != "")
-    header = F.split("value", "\r?\n", 2)
+    """``(name, seq)`` of a FASTA file; an entry begins with ``>`` at the beginning of a line."""
+    entries = spark.read.text(path, lineSep="\n>").filter(F.trim("value") != "")
+    header = F.split(F.regexp_replace("value", "^\\s*>", ""), "\r?\n", 2)
     return entries.select(
         F.element_at(F.split(F.get(header, F.lit(0)), r"[ \t]"), 1).alias("name"),
         F.upper(F.regexp_replace(F.coalesce(F.get(header, F.lit(1)), F.lit("")), r"\s+", "")).alias("seq"),
@@ -107,9 +106,6 @@ def read_adapters(spark: SparkSession, path: str) -> DataFrame:
     return read_fasta(spark, path).withColumnRenamed("name", "adapter_id")
 
 
-def adapter_list(adapters: DataFrame, limit: int = MAX_ADAPTERS) -> list[str]:
-    """Adapter sequences for the trimming kernels; a set beyond ``limit`` is an error."""
-    rows = adapters.select("adapter_id", "seq").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} adapters")
-    return [row.seq for row in sorted(rows)]
+def adapter_list(adapters: DataFrame) -> list[str]:
+    """Adapter sequences for the trimming kernels, which take a list; a set of adapters is a short table."""
+    return [row.seq for row in sorted(adapters.select("adapter_id", "seq").collect())]

@@ -37,7 +37,7 @@ def parse_sam(lines: DataFrame, chroms: DataFrame, keep: Sequence[str] = ()) ->
     Positions become 0-based and half open here.
     """
     f = F.split("value", "\t")
-    tag_rows = F.filter(F.slice(F.col("_f"), 12, 10_000), lambda t: t.rlike("^[A-Za-z][A-Za-z0-9]:[A-Za-z]:"))
+    tag_rows = F.filter(F.slice(F.col("_f"), F.lit(12), F.greatest(F.size("_f") - 11, F.lit(0))), lambda t: t.rlike("^[A-Za-z][A-Za-z0-9]:[A-Za-z]:"))
     tags = F.map_from_entries(
         F.transform(tag_rows, lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substr(t, F.lit(6)).alias("value")))
     )

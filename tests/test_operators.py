@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from readframe.operators import compare, counting, hooks, intervals, mapping, qc, reads, running, scale, transcripts, trim
 
@@ -72,9 +72,12 @@ def test_islands_and_depth_brute_force(spark):
     got = {(r.k, p): r.depth for r in intervals.depth_segments(df, ["k"]).collect() for p in range(r.start0, r.end0)}
     assert got == depth
     small = intervals.merged_features(df, ["k"]).collect()
-    large = intervals.merged_features(df, ["k"], max_rows=0).collect()
+    large = intervals.islands(df, ["k"]).collect()
     assert sorted(map(tuple, small)) == sorted(map(tuple, large))
     assert sum(r.end0 - r.start0 for r in small) == len(depth)
+    unkeyed = spark.createDataFrame([(None, 5, 9), (None, 8, 12), (1, 1, 2)], df.schema)
+    for way in (intervals.merged_features, intervals.islands):
+        assert sorted(map(str, way(unkeyed, ["k"]).collect())) == sorted(map(str, [Row(k=None, start0=5, end0=12), Row(k=1, start0=1, end0=2)]))
 
 
 def test_running_sum_brute_force(spark):
@@ -308,6 +311,34 @@ def test_tile_copies_count_once(spark):
     assert sorted((r.support, r.start0, r.end0) for r in got) == [(0, 200, 260), (2, 0, 100)]
 
 
+def test_support_counts_fragments(spark):
+    """Two mates over one intron are one fragment; equal ids of two samples are two; the tag gives the strand."""
+    rows = [("s", "r1", 1, "+", 0, 100, [A], {"XS": "-"}), ("s", "r1", 1, "-", 5, 120, [A, B], {"XS": "-"}),
+            ("t", "r1", 1, "+", 0, 100, [A, B], {"XS": "-"}), ("t", "r9", 1, "+", 300, 500, [(350, 400)], {})]
+    schema = (
+        f"sample string, read_id string, chrom_id int, strand string, start0 bigint, end0 bigint, introns {BLOCKS}, tags map<string,string>"
+    )
+    got = transcripts.transcript_candidates(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.strand, len(r.chain), r.support, r.start0, r.end0) for r in got] == [("-", 2, 2, 0, 120)]
+
+
+def test_single_exon_loci_match(spark):
+    table = chain_table(spark, [(1, "+", [], 3, 0, 90), (1, "+", [(600, 700)], 2, 500, 900), (2, "-", [], 1, 5, 9)])
+    locus = compare.accuracy(table, table).filter("level = 'locus'").first()
+    assert (locus.tp, locus.fp, locus.fn) == (3, 0, 0)
+
+
+def test_mapper_tells_ties(spark):
+    rng = random.Random(3)
+    one, two = ("".join(rng.choices("ACGT", k=300)) for _ in range(2))
+    sequences = spark.createDataFrame([(0, one), (1, two + one[100:180]), (2, "".join(rng.choices("ACGT", k=200)))], "chrom_id int, seq string")
+    table = spark.createDataFrame([("u", one[0:60]), ("m", one[110:170]), ("n", "A" * 40)], "read_id string, seq string")
+    got = {r.read_id: (r.chrom_id, r.alone) for r in mapping.map_reads(table, sequences).collect()}
+    assert got == {"u": (0, True), "m": (0, False), "n": (None, None)}
+    tagged = {r.read_id: (r.mapq, r.tags, r.cigar) for r in mapping.as_alignments(mapping.map_reads(table, sequences)).collect()}
+    assert tagged["u"][1:] == ({"NH": "1"}, "60M") and tagged["m"][:2] == (0, {"NH": "2"}) and tagged["n"] == (None, None, "*")
+
+
 def test_merge_and_accuracy(spark):
     candidates = chain_table(spark, [(1, "+", [A, B], 4, 0, 50), (1, "+", [B], 2, 25, 50), (1, "+", [C], 2, 45, 90)])
     reference = chain_table(spark, [(1, "+", [A, B], 0, 0, 50), (1, "+", [A], 0, 0, 25)]).withColumn("tid", F.concat(F.lit("t"), F.size("chain")))

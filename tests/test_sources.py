@@ -76,7 +76,9 @@ def test_manifest(spark, tmp_path):
     path = write(tmp_path / "m.txt", "a_1.fastq.gz\ta_2.fastq.gz\nb.fq\n\nx y z\n")
     table = manifest.read_manifest(spark, path)
     assert rows(table.select("manifest_line", "paired", "valid")) == [(0, True, True), (1, False, True), (3, False, False)]
-    assert rows(manifest.manifest_files(table)) == [("a_1", 1, "a_1.fastq.gz"), ("a_1", 2, "a_2.fastq.gz"), ("b", 1, "b.fq")]
+    with pytest.raises(Exception, match="neither one file nor two"):
+        manifest.manifest_files(table).collect()
+    assert rows(manifest.manifest_files(table.filter("valid"))) == [("a_1", 1, "a_1.fastq.gz"), ("a_1", 2, "a_2.fastq.gz"), ("b", 1, "b.fq")]
     with pytest.raises(ValueError):
         manifest.require_input(table.filter("false"))
 
@@ -118,12 +120,27 @@ def test_split_job(spark, tmp_path):
     assert back.filter("sample = 'b'").count() == 300
     names = [r.value for r in spark.read.text(f"{out}/report").collect()]
     assert names == sorted(names) and len(names) > 4
+    assert sorted(p.name for p in (tmp_path / "out/parts").glob("*.gz")) == names
     with pytest.raises(Exception, match="(?i)exists"):
         files.write_part_report(numbered, f"{out}/report")
     with pytest.raises(ValueError):
         files.write_mode("append")
 
 
+def test_split_keeps_records_without_mate(spark, tmp_path):
+    write(tmp_path / "in/a_1.fq", "".join(record("p", i) for i in range(3)) + "@cut\nAC\n")
+    write(tmp_path / "in/a_2.fq", "".join(record("q", i) for i in range(2)))
+    write(tmp_path / "m.txt", "a_1.fq a_2.fq\n")
+    out = str(tmp_path / "out")
+    numbered = jobs.split(spark, str(tmp_path / "m.txt"), str(tmp_path / "in"), out)
+    assert sorted((r.r1.read_id, r.r2.read_id) for r in numbered.collect()) == [("@p0", "@q0"), ("@p1", "@q1"), ("@p2", "")]
+    counts = spark.read.csv(f"{out}/partial", header=True).collect()
+    assert [(r["sample"], r.cut_mate1, r.short_mate2) for r in counts] == [("a_1", "1", "1")]
+    write(tmp_path / "m2.txt", "a_1.fq a_3.fq\n")
+    with pytest.raises(FileNotFoundError, match="a_3.fq"):
+        jobs.split(spark, str(tmp_path / "m2.txt"), str(tmp_path / "in"), str(tmp_path / "out2"))
+
+
 def test_split_size_keeps_records(spark):
     table = spark.range(2000).selectExpr("'s' AS sample", "id * 3 AS ordinal", "id % 90 + 1 AS row_bytes")
     for limit in (100, 5_000, 10**9):
@@ -183,8 +200,8 @@ def test_gtf_refflat_fasta(spark, tmp_path):
     adapters = annotation.read_adapters(spark, fa)
     assert sorted(r.adapter_id for r in adapters.collect()) == names
     assert set(annotation.adapter_list(adapters)) == {"ACGTAC"}
-    with pytest.raises(ValueError):
-        annotation.adapter_list(adapters, limit=2)
+    odd = annotation.read_fasta(spark, write(tmp_path / "b.fa", ">s1 A>B change\nAC\nGT\n>s2\nTT\n"))
+    assert rows(odd) == [("s1", "ACGT"), ("s2", "TT")]
 
 
 def test_logs(spark, tmp_path):
