@@ -108,36 +108,65 @@ def sliding_lengths(quals: Sequence[str], window: int, mean: int) -> np.ndarray:
     return np.where(low.any(axis=1), low.argmax(axis=1), lengths)
 
 
-def entropy_score(seq: str) -> float:
-    """Mean three-letter-word entropy over windows, scaled to 0-100."""
-    letters = np.frombuffer(seq.encode("ascii", "replace"), np.uint8).astype(np.int64)
-    if len(letters) < ENTROPY_WORD:
-        return 0.0
-    words = (letters[:-2] << 16) | (letters[1:-1] << 8) | letters[2:]
+def entropy_scores(seqs: Sequence[str]) -> np.ndarray:
+    """Mean three-letter-word entropy over windows of each read, scaled to 0-100.
+
+    All windows of the reads are the rows of one matrix; sorting a row makes equal words runs, whose lengths are the
+    counts.
+    """
+    letters = [np.frombuffer(seq.encode("ascii", "replace"), np.uint8).astype(np.int64) for seq in seqs]
     span = ENTROPY_WINDOW - ENTROPY_WORD + 1
-    starts = range(0, max(len(letters) - ENTROPY_WINDOW, 0) + 1, ENTROPY_STEP)
-    values = []
-    for start in starts:
-        counts = np.unique(words[start : start + span], return_counts=True)[1]
-        total = counts.sum()
-        if total < 2:
-            values.append(0.0)
+    rows, owner = [], []
+    for read, own in enumerate(letters):
+        if len(own) < ENTROPY_WORD:
             continue
-        share = counts / total
-        values.append(float(-(share * np.log(share)).sum() / np.log(min(total, 4**ENTROPY_WORD)) * 100))
-    return float(np.mean(values))
-
-
-CHUNK = 512
-
-
-def _in_chunks(kernel: Callable[..., np.ndarray], *columns: pd.Series) -> pd.Series:
-    """Run a kernel over a batch in pieces, which bounds the memory of its 3-d arrays."""
-    out = [
-        kernel(*[c.iloc[i : i + CHUNK].fillna("").tolist() for c in columns])
-        for i in range(0, len(columns[0]), CHUNK)
-    ]
-    return pd.Series(np.concatenate(out) if out else np.array([], dtype=np.int64)).astype("int32")
+        words = np.full(max(len(own) - ENTROPY_WORD + 1, span), PAD, dtype=np.int64)
+        words[: len(own) - ENTROPY_WORD + 1] = (own[:-2] << 16) | (own[1:-1] << 8) | own[2:]
+        windows = np.lib.stride_tricks.sliding_window_view(words, span)
+        starts = np.arange(0, max(len(own) - ENTROPY_WINDOW, 0) + 1, ENTROPY_STEP)
+        rows.append(windows[starts])
+        owner.append(np.full(len(starts), read))
+    out = np.zeros(len(seqs))
+    if not rows:
+        return out
+    table, owner = np.sort(np.concatenate(rows), axis=1), np.concatenate(owner)
+    flat = table.ravel()
+    first = np.ones(len(flat), dtype=bool)
+    first[1:] = flat[1:] != flat[:-1]
+    first[::span] = True
+    runs = np.flatnonzero(first)
+    lengths = np.diff(np.append(runs, len(flat))).astype(float)
+    real = flat[runs] != PAD
+    row, lengths = runs[real] // span, lengths[real]
+    total = np.bincount(row, weights=lengths, minlength=len(table))
+    spread = np.bincount(row, weights=lengths * np.log(lengths), minlength=len(table))
+    value = np.zeros(len(table))
+    some = total >= 2
+    n = total[some]
+    value[some] = (np.log(n) - spread[some] / n) / np.log(np.minimum(n, 4**ENTROPY_WORD)) * 100
+    windows = np.bincount(owner, minlength=len(seqs))
+    return np.bincount(owner, weights=value, minlength=len(seqs)) / np.maximum(windows, 1)
+
+
+PAD = 1 << 40
+# Letters of a chunk, each read padded to the longest: kernels hold some hundred bytes for each.
+CHUNK_LETTERS = 65_536
+
+
+def _in_chunks(kernel: Callable[..., np.ndarray], *columns: pd.Series, dtype: str = "int32") -> pd.Series:
+    """Run a kernel over a batch in pieces of reads of like length, which bounds the memory of its 3-d arrays."""
+    columns = [c.fillna("").to_numpy(dtype=object) for c in columns]
+    sizes = np.fromiter(map(len, columns[0]), dtype=np.int64, count=len(columns[0]))
+    order = np.argsort(sizes, kind="stable")
+    out, begin = np.zeros(len(order), dtype=dtype), 0
+    while begin < len(order):
+        end = begin + 1
+        while end < len(order) and (end + 1 - begin) * sizes[order[end]] <= CHUNK_LETTERS:
+            end += 1
+        part = order[begin:end]
+        out[part] = kernel(*[c[part].tolist() for c in columns])
+        begin = end
+    return pd.Series(out)
 
 
 def clip_position_udf(adapters: Sequence[str]):
@@ -169,7 +198,7 @@ def tail_position_udf(adapter: str, error_rate: float, min_overlap: int):
 def entropy_udf():
     @F.pandas_udf("double")
     def entropy(seq: pd.Series) -> pd.Series:
-        return seq.fillna("").map(entropy_score).astype("float64")
+        return _in_chunks(entropy_scores, seq, dtype="float64")
 
     return entropy
 

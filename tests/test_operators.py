@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import Row, functions as F
 
@@ -231,7 +232,10 @@ def test_trim_steps(spark):
     assert trimmed(spark, "ACGTAGATCGGAAG", "I" * 14, trim.adapter_tail(trim.STANDARD_ADAPTER, 0.1, 1))[0] == "ACGT"
     assert trimmed(spark, "ACGTA", "IIIII", trim.adapter_tail(trim.STANDARD_ADAPTER, 0.1, 1))[0] == "ACGT"
     assert trimmed(spark, "ACGTA", "IIIII", trim.adapter_tail())[0] == "ACGTA"
-    assert trim.entropy_score("A" * 80) == 0 and trim.entropy_score("AC") == 0 and trim.entropy_score("ACGTTGCATCAGGTACCATG") > 80
+    scores = trim.entropy_scores(["A" * 80, "AC", "ACGTTGCATCAGGTACCATG", ""])
+    assert scores[0] == scores[1] == scores[3] == 0 and scores[2] > 80
+    long = trim.clip_position_udf(["CTGTCTCTTATACACATCT"]).func(pd.Series(["ACGT" * 12_500, "ACG"]), pd.Series(["I" * 50_000, "III"]))
+    assert len(long) == 2
 
 
 def test_survival_report(spark):
