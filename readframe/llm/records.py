@@ -194,7 +194,8 @@ def write(
             out.close()
 
     schema = f"doc_id {kind}, shard int, path string, offset bigint, n_bytes bigint, start bigint, n_tokens bigint"
-    ordered = source.orderBy(F.asc_nulls_first("doc_id"), "text")
+    # The ranges are drawn by id alone: a sort by text as well would sample texts to the driver.
+    ordered = source.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     place = f"{folder}/index-in-shard"
     ordered.mapInArrow(run, schema).write.parquet(place)
     local = spark.read.schema(schema).parquet(place)
