@@ -29,7 +29,7 @@ from readframe.llm.common import Growing, Numbered, each_piece, gather
 
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
-CACHE_WORDS, KEPT_WORDS = 300_000, 150_000
+CACHE_WORDS, KEPT_WORDS = 450_000, 300_000
 PIECE_BYTES = 2_000_000
 READ_BYTES = 2_000_000  # records that lie together are read in ranges of about this size
 
