@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from readframe.operators import counting, qc, trim
 from readframe.operators.compare import accuracy
 from readframe.operators.hooks import ALIGNERS, ASSEMBLERS, COUNTERS, pick
-from readframe.operators.intervals import add_chromosome_name, bin_reads, full_bins, reads_per_bin
+from readframe.operators.intervals import (
+    add_chromosome_name,
+    bin_pairs,
+    bin_reads,
+    full_bins,
+    pair_by_parity,
+    reads_per_bin,
+)
 from readframe.operators.mapping import as_alignments, map_reads
 from readframe.operators.matrix import sum_counts, union_counts
 from readframe.operators.reads import PART_BYTES, number_parts
@@ -144,17 +151,25 @@ def assemble(
     tiling: bool = True,
     min_reads: int = 50,
     min_support: int = 2,
+    paired: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Alignments to named candidates and the merged reference.
 
-    Only reads of bins with enough records take part. Both assembler names lead to the same
+    Only reads of bins with enough records take part. With ``paired`` records 2i and 2i + 1 of a part are mates and go
+    together to every bin of their common span; that needs ``sample, part_no, ordinal``. Both assembler names lead to the same
     evidence table.
     """
     pick(assembler, ASSEMBLERS, "assembler")
     keys = ["chrom_id", "bin"]
     # Dictionary filter before anything is shuffled.
     mapped = dimension_join(alignments.filter("chrom_id is not null"), chroms.select("chrom_id"), ["chrom_id"], "left_semi")
-    binned = bin_reads(mapped, tiling)
+    if paired:
+        part = ["sample", "part_no"]
+        binned = bin_pairs(pair_by_parity(alignments, part), part, tiling).drop("pair", "paired")
+        binned = settle(dimension_join(binned, chroms.select("chrom_id"), ["chrom_id"], "left_semi"))
+    else:
+        # Counted and then read again, so the table is kept.
+        binned = settle(bin_reads(mapped, tiling))
     kept = dimension_join(binned, full_bins(reads_per_bin(binned), min_reads).select(*keys), keys, "left_semi")
     candidates = transcript_candidates(kept.drop("bin"), min_support)
     named = name_transcripts(candidates, chroms)

@@ -104,6 +104,27 @@ def test_assemble(spark, reference, tmp_path):
         jobs.assemble(alignments, kept, reference_table, "cufflinks")
 
 
+def test_assemble_bins_mates_together(spark, reference):
+    """A mate alone in a bin makes the bin's record count of its pair."""
+    chroms, _, _ = reference
+    rows = []
+    for i in range(20):
+        rows.append(("s", 0, 2 * i, f"p{i}", 0, "+", 250_000 + i, 251_000, [(250_100, 250_200)]))
+        rows.append(("s", 0, 2 * i + 1, f"p{i}", 0, "+", 322_000, 323_000 + i, [(322_100, 322_200)]))
+    alignments = spark.createDataFrame(
+        rows,
+        "sample string, part_no int, ordinal bigint, read_id string, chrom_id int, strand string, start0 bigint, end0 bigint, "
+        "introns array<struct<s:bigint,e:bigint>>",
+    )
+    none = spark.createDataFrame(
+        [], "tid string, chrom_id int, strand string, chain array<struct<s:bigint,e:bigint>>, start0 bigint, end0 bigint, support bigint"
+    )
+    kept = intervals.main_chromosomes(chroms)
+    found = {p: jobs.assemble(alignments, kept, none, min_reads=40, paired=p)[0].collect() for p in (False, True)}
+    assert [(len(r.chain), r.support) for r in found[True]] == [(2, 20)]
+    assert found[False] == []
+
+
 def test_mates_and_blank_report(spark, reference):
     _, sequences, exons = reference
     chrom, start, _ = GENES["G1"]
