@@ -84,8 +84,9 @@ def fastq_row():
 FROM v_reads1 a JOIN v_reads2 b ON a.ordinal = b.ordinal WHERE length(a.seq) >= 46 AND length(b.seq) >= 46""",
 )
 def preprocess_job(spark, sf):
-    """Split, write, read and clean pairs of which both mates exist."""
-    pairs = v.pairs(spark, sf).filter("r2 is not null")
+    """Split, write, read and clean all pairs; a missing mate is blank and too short in the end."""
+    blank = F.struct(*[F.lit("").alias(name) for name in fastq.FIELDS])
+    pairs = v.pairs(spark, sf).withColumn("r2", F.coalesce("r2", blank))
     numbered = reads.number_parts(pairs.withColumn("row_bytes", F.octet_length(fastq_row()) + 1), limit=65_536)
     path = scratch_path(spark, "parts")
     files.write_parts(numbered, path)
@@ -190,11 +191,12 @@ def gtf_scan(spark, sf):
 
 @query(
     "refflat_scan",
-    "v_regions",
-    "SELECT chrom_id, base_class, start0, end0 FROM v_regions WHERE base_class <> 'intronic'",
+    ("v_regions", "v_exon"),
+    """SELECT chrom_id, base_class, start0, end0 FROM v_regions WHERE base_class <> 'intronic'
+UNION ALL SELECT chrom_id, 'intronic', min(start0), max(end0) FROM v_exon GROUP BY gene, chrom_id""",
 )
 def refflat_scan(spark, sf):
-    """Transcripts as refFlat lines, scanned and cut into base classes."""
+    """Transcripts as refFlat lines, scanned and cut into base classes; whole transcripts are intronic below the others."""
     line = F.format_string(
         "%s\tT%s\tchr%d\t%s\t%d\t%d\t%d\t%d\t3\t%d,%d,%d,\t%d,%d,%d,",
         "gene", "gene", F.col("chrom_id") + 1, "strand", "base", F.expr("base + 6000 + len"), F.expr("base + 100"),
@@ -204,7 +206,7 @@ def refflat_scan(spark, sf):
     path = _written(spark, v.parts(spark, sf).select(line.alias("value")), "refflat")
     chroms = spark.range(10).selectExpr("id AS chrom_id", "concat('chr', id + 1) AS chrom")
     table = annotation.class_regions(annotation.read_refflat(spark, path, chroms))
-    return table.filter("base_class <> 'intronic'").select("chrom_id", "base_class", "start0", "end0")
+    return table.select("chrom_id", "base_class", "start0", "end0")
 
 
 @query(
@@ -482,3 +484,25 @@ def accuracy_sink(spark, sf):
     path = scratch_path(spark, "accuracy")
     files.write_accuracy(accuracy(_candidates(spark, sf), v.transcripts(spark, sf)), path)
     return spark.read.csv(path, header=True).agg(F.count_distinct("level").alias("n_levels"))
+
+
+@query(
+    "sam_sink",
+    "v_align",
+    """SELECT sample, CAST(read_id AS VARCHAR) AS read_id, concat('chr', chrom_id) AS chrom, start0, end0, strand, nh
+FROM (SELECT *, CASE WHEN mapq > 20 THEN '1' ELSE '2' END AS nh FROM v_align) a""",
+)
+def sam_sink(spark, sf):
+    """Alignments of all parts as SAM text, one folder per sample, read back."""
+    hits = v.align(spark, sf).select(
+        "sample", "part_no", F.col("read_id").cast("bigint").alias("ordinal"), F.col("read_id").cast("string").alias("read_id"),
+        F.when(F.col("strand") == "-", 16).otherwise(0).alias("flag"), F.concat(F.lit("chr"), "chrom_id").alias("chrom"),
+        "start0", "mapq", F.concat(F.col("end0") - F.col("start0"), F.lit("M")).alias("cigar"),
+        F.create_map(F.lit("NH"), F.when(F.col("mapq") > 20, "1").otherwise("2")).alias("tags"),
+    )
+    path = scratch_path(spark, "sam")
+    files.write_sample_alignments(hits, path, fmt="sam")
+    chroms = spark.range(10).selectExpr("id AS chrom_id", "concat('chr', id) AS chrom")
+    lines = spark.read.text(path)
+    back = sam.parse_sam(lines, chroms, ["sample"])
+    return back.select("sample", "read_id", "chrom", "start0", "end0", "strand", F.col("tags")["NH"].alias("nh"))
