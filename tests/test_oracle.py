@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.catalog import QUERIES, SQL
 from checks.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,4 +28,5 @@ def test_runs(spark, name):
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert entry.entry(spark).count() > 0
