@@ -29,15 +29,43 @@ def missed(query: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataF
     return novel(reference, query, keys)
 
 
-def _tally(overlap: DataFrame, level: str) -> DataFrame:
-    def number(status: str):
-        return F.count(F.when(F.col("status") == status, 1)).alias(
-            {"matched": "tp", "novel": "fp", "missed": "fn"}[status]
-        )
-
-    return overlap.agg(number("matched"), number("novel"), number("missed")).select(
-        F.lit(level).alias("level"), "tp", "fp", "fn"
+def _features(table: DataFrame) -> DataFrame:
+    """``(level, chrom_id, strand, key)``: every feature of every transcript, of all levels in one table."""
+    span = lambda s, e: F.concat_ws("-", s, e)
+    starts = F.concat(F.array(F.col("start0")), F.transform("chain", lambda i: i["e"]))
+    ends = F.concat(F.transform("chain", lambda i: i["s"]), F.array(F.col("end0")))
+    introns = F.transform("chain", lambda i: span(i["s"], i["e"]))
+    chain = F.array_join(introns, ",")
+    keys = {
+        "exon": F.zip_with(starts, ends, span),
+        "intron": introns,
+        "intron_chain": F.when(F.size("chain") > 0, F.array(chain)).otherwise(F.array().cast("array<string>")),
+        "transcript": F.array(F.concat_ws("|", chain, span(F.col("start0"), F.col("end0")))),
+    }
+
+    def named(level: str):
+        return lambda key: F.struct(F.lit(level).alias("level"), key.alias("key"))
+
+    rows = [F.transform(of, named(level)) for level, of in keys.items()]
+    return table.select("chrom_id", "strand", F.inline(F.concat(*rows)))
+
+
+def feature_tallies(query: DataFrame, reference: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """``(level, tp, fp, fn)`` of the levels that compare equal features, from one grouping over both sides."""
+    both = _features(query).withColumn("q", F.lit(1)).unionByName(_features(reference).withColumn("q", F.lit(0)))
+    sides = both.groupBy("level", "chrom_id", "strand", "key").agg(F.max("q").alias("q"), F.max(1 - F.col("q")).alias("r"))
+
+    def number(level: str, q: int, r: int):
+        return F.count_if((F.col("level") == level) & (F.col("q") == q) & (F.col("r") == r))
+
+    counts = sides.agg(
+        *[number(n, q, r).alias(f"{n}_{q}{r}") for n in levels for q, r in ((1, 1), (1, 0), (0, 1))]
     )
+    rows = [
+        F.struct(F.lit(n).alias("level"), F.col(f"{n}_11").alias("tp"), F.col(f"{n}_10").alias("fp"), F.col(f"{n}_01").alias("fn"))
+        for n in levels
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def base_tally(query_exons: DataFrame, reference_exons: DataFrame, stranded: bool = True) -> DataFrame:
@@ -57,10 +85,6 @@ def base_tally(query_exons: DataFrame, reference_exons: DataFrame, stranded: boo
     ).select(F.lit("base").alias("level"), "tp", "fp", "fn")
 
 
-def _introns(table: DataFrame) -> DataFrame:
-    return table.select("chrom_id", "strand", F.explode("chain").alias("intron"))
-
-
 def locus_tally(query: DataFrame, reference: DataFrame) -> DataFrame:
     """A locus (merged span of transcripts) matches when it shares an intron chain with the other side.
 
@@ -109,24 +133,16 @@ def accuracy(query: DataFrame, reference: DataFrame, levels: Sequence[str] = LEV
     # Each level reads both tables; they are small next to the reads they were made from.
     query, reference = settle(query.select(*columns)), settle(reference.select(*columns))
     parts = []
-    if "base" in levels or "exon" in levels:
-        q_exons, r_exons = transcript_exons(query), transcript_exons(reference)
-    for level in levels:
-        if level == "base":
-            parts.append(base_tally(q_exons, r_exons))
-        elif level == "exon":
-            parts.append(_tally(feature_overlap(q_exons, r_exons, [*keys, "start0", "end0"]), level))
-        elif level == "intron":
-            parts.append(_tally(feature_overlap(_introns(query), _introns(reference), [*keys, "intron"]), level))
-        elif level == "intron_chain":
-            q, r = (t.filter(F.size("chain") > 0) for t in (query, reference))
-            parts.append(_tally(feature_overlap(q, r, [*keys, "chain"]), level))
-        elif level == "transcript":
-            parts.append(_tally(feature_overlap(query, reference, [*keys, "chain", "start0", "end0"]), level))
-        elif level == "locus":
-            parts.append(locus_tally(query, reference))
-        else:
-            raise ValueError(f"level must be one of {LEVELS}")
+    unknown = set(levels) - set(LEVELS)
+    if unknown:
+        raise ValueError(f"level must be one of {LEVELS}")
+    if "base" in levels:
+        parts.append(base_tally(transcript_exons(query), transcript_exons(reference)))
+    if "locus" in levels:
+        parts.append(locus_tally(query, reference))
+    equal = [n for n in levels if n in ("exon", "intron", "intron_chain", "transcript")]
+    if equal:
+        parts.append(feature_tallies(query, reference, equal))
     total = parts[0]
     for part in parts[1:]:
         total = total.unionByName(part)

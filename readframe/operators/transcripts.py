@@ -47,6 +47,8 @@ def intron_support(chain_table: DataFrame) -> DataFrame:
 
 def supported_chains(chain_table: DataFrame, minimum: int = MIN_INTRON_SUPPORT) -> DataFrame:
     """Chains of which every intron is supported by at least ``minimum`` fragments."""
+    # Three uses of a table that is small next to the reads behind it.
+    chain_table = settle(chain_table)
     weak = intron_support(chain_table).filter(F.col("intron_support") < minimum)
     keys = ["chrom_id", "strand", "intron"]
     members = chain_table.select("chrom_id", "strand", "chain", F.explode("chain").alias("intron"))
@@ -78,6 +80,7 @@ def drop_contained(chain_table: DataFrame, keep: Column | None = None) -> DataFr
     compared with each other. Rows for which ``keep`` holds stay in any case.
     """
     keys = ["chrom_id", "strand", "chain"]
+    chain_table = settle(chain_table)
     parts = (
         chain_table.filter(F.size("chain") > 1)
         .select("chrom_id", "strand", F.explode(proper_parts(F.col("chain"))).alias("chain"))
