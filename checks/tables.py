@@ -111,7 +111,8 @@ def input_inventory(spark, sf):
 FROM (SELECT files, unnest(range(1, len(files) + 1)) AS i FROM f WHERE len(files) <= 2) t""",
 )
 def manifest_files(spark, sf):
-    return mf.manifest_files(mf.parse_manifest(v.manifest(spark, sf)))
+    """Files of the usable lines; the others, which the job refuses, are in ``manifest_check``."""
+    return mf.manifest_files(mf.parse_manifest(v.manifest(spark, sf)).filter("valid"))
 
 
 @query(
