@@ -107,7 +107,8 @@ class WordEncoder:
     def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
         findall, ends = self.split.findall, np.flatnonzero(self.ends[ids])
-        matches = np.cumsum(np.fromiter((len(findall(w.lower())) for w in words), dtype=np.int64, count=len(words)))
+        pieces = (1 if w.isalpha() else len(findall(w.lower())) for w in words)  # letters alone are one match
+        matches = np.cumsum(np.fromiter(pieces, dtype=np.int64, count=len(words)))
         if len(ends) != matches[-1] or not np.diff(matches, prepend=0).all():
             return self._alone(words)
         return ids, np.diff(ends[matches - 1] + 1, prepend=0)
