@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from readframe.functions.cigar import INTERVALS
 from readframe.functions.text import opposite
 from readframe.operators.intervals import islands, merged_features, overlap_bases, overlap_join
+from readframe.session import settle
 
 STRANDED = ("no", "yes", "reverse")
 HTSEQ_MODES = ("union", "intersection-strict", "intersection-nonempty")
@@ -109,6 +110,8 @@ def genes_per_fragment(
     features = _features(exons)
     if covered:
         features = features.unionByName(_covered(exons, stranded))
+    # The join counts its right side and then reads it, so the merged annotation is kept.
+    features = settle(features)
     once = F.col("hits") == 1
     wanted = once if lookup is None else once & lookup
     pairs = overlap_join(_pieces(frags, keys, wanted), features, how="left", condition=_strand_test(stranded))
