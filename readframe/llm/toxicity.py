@@ -1,14 +1,16 @@
-"""Toxicity from two Kneser-Ney bigram models, one per class, that share their lowest order.
+"""Toxicity from two Kneser-Ney bigram models, one per class, that share counts for backoff.
 
-    P_c(w | v) = max(n_c(v w) - D, 0) / n_c(v) + b_c(v) P_c(w)
-    P_c(w)     = max(n_c(w) - D, 0) / N_c + b_c S(w)
+    P_c(w | v) = d(n_c(v w)) / n_c(v) + b_c(v) (d(n(v w)) / n(v) + b(v) P_c(w))
+    P_c(w)     = d(n_c(w)) / N_c + b_c S(w)
     S(w)       = (distinct words before w, in either class, + 1) / (distinct pairs + distinct words + 1)
 
-``b`` gives what the discount and pruned pairs (seen fewer than ``LEAST`` times) leave. Words seen fewer than ``FREQUENT`` times in both classes
-together are one word, as are words never seen, so rare expressions say little; a word that one class favours says much,
-and the other class still expects it as often as the shared counts say. The log-likelihood ratio is normalised
-by length, over the whole text and over its ``TOP`` most toxic words, and a logistic curve turns the two
-into a probability. The curve is fitted on ratios of labelled texts by the models of the other half of the labels.
+``n`` without a class counts both. ``d`` takes off a discount for 1, 2 and more that the counts of counts give, ``b`` is
+what the discounts leave. Every word and pair of the labelled sample has its own counts; only words never seen are one
+word. Rare ones are smoothed by the discount and the shared counts: what was seen once in one class is expected of the
+other as well, so it says something, but less than what one class favours often. The log-likelihood ratio is normalised
+by length, over the whole text and over its ``TOP`` most toxic words, once after the word before them and once alone,
+and a logistic curve turns the three into a probability. The curve is fitted on ratios of labelled texts by the models
+of the other half of the labels.
 
 The labelled texts are a documented sample: about ``LABELLED`` rows of each class, chosen by a hash of the id; all rows
 of a smaller class. Everything that is broadcast is bounded by that sample.
@@ -30,8 +32,6 @@ LABELLED = 3_000
 DISCOUNT = 0.75
 TOP = 4
 CACHE_WORDS = 300_000
-FREQUENT = 10
-LEAST = 4  # pairs seen less often in a class are left to the lower order
 
 
 def word_hash(word: bytes) -> int:
@@ -66,7 +66,10 @@ def _pair_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Models:
-    """Both classes' models: sorted word hashes, word and backoff probabilities, and kept pairs. The last word is any other."""
+    """Both classes' models: sorted word hashes, word and backoff probabilities, and pairs. The last word is any other.
+
+    The first hash is 0, the beginning of a text, which comes before words only.
+    """
 
     words: np.ndarray
     word_p: np.ndarray  # class, word
@@ -80,6 +83,10 @@ class Models:
         known[known] = self.words[at[known]] == hashes[known]
         return np.where(known, at, len(self.words))
 
+    def word_ratios(self) -> np.ndarray:
+        p = np.maximum(self.word_p, 1e-300)  # the beginning has none
+        return np.log(p[1]) - np.log(p[0])
+
     def ratios(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
         p = self.backoff[:, before] * self.word_p[:, word]
         if len(self.pairs):
@@ -89,50 +96,55 @@ class Models:
         return np.log(p[1]) - np.log(p[0])
 
 
-def _models(words: pa.Table, pairs: pa.Table, halves: tuple[int, ...], tag: str) -> Models:
-    """From counts per word (n_<half><class>, cont_<tag>) and per pair (n_<half><class>)."""
-    take = lambda t, c, k="n": sum(t[f"{k}_{h}{c}"].to_numpy().astype(float) for h in halves)
-    hashes = words["word"].to_numpy()
-    order = np.argsort(hashes)
-    frequent = (take(words, 0) + take(words, 1))[order] >= FREQUENT
+def _discounted(n: np.ndarray) -> np.ndarray:
+    """Counts less the discounts for 1, 2 and more that the counts of counts give (Chen and Goodman)."""
+    r = np.array([np.count_nonzero(n == k) for k in (1, 2, 3, 4)], dtype=float)
+    d = np.full(3, DISCOUNT)
+    if r.all():
+        k = np.arange(1, 4)
+        d = np.clip(k - (k + 1) * r[0] / (r[0] + 2 * r[1]) * r[1:] / r[:-1], 0.1, k - 0.1)
+    return np.maximum(n - d[np.clip(n, 1, 3) - 1], 0.0)
 
-    def merged(values: np.ndarray) -> np.ndarray:
-        return np.append(values[order][frequent], values[order][~frequent].sum())
 
-    hashes = hashes[order][frequent]
+def _models(words: pa.Table, pairs: pa.Table) -> Models:
+    """From counts per word (n_<class>, h_<class> as the word before, cont) and per pair (n_<class>)."""
+    hashes = words["word"].to_numpy()
+    order = np.argsort(hashes)
+    hashes = hashes[order]
     size = len(hashes) + 1
-    n = np.array([merged(take(words, c)) for c in (0, 1)])
-    held = np.array([merged(take(words, c, "h")) for c in (0, 1)])
-    cont = merged(words[f"cont_{tag}"].to_numpy().astype(float))
-    shared = (cont + 1) / (cont.sum() + np.count_nonzero(cont) + 1)
+    n, held = (np.array([np.append(words[f"{k}_{c}"].to_numpy()[order], 0) for c in (0, 1)]) for k in "nh")
+    cont = np.append(words["cont"].to_numpy()[order], 0)
+    shared = np.where(np.append(hashes, -1) == 0, 0.0, cont + 1)
+    shared /= shared.sum()
     total = np.maximum(n.sum(axis=1, keepdims=True), 1.0)
-    kept = np.maximum(n - DISCOUNT, 0) / total
+    kept = np.array([_discounted(k) for k in n]) / total
     word_p = kept + (1 - kept.sum(axis=1, keepdims=True)) * shared
-    model = Models(hashes, word_p, np.ones_like(n), np.zeros(0, dtype=np.int64), np.zeros((2, 0)))
-    count = np.array([take(pairs, c) for c in (0, 1)])
+    model = Models(hashes, word_p, np.ones(n.shape), np.zeros(0, dtype=np.int64), np.zeros((2, 0)))
+    count = np.array([pairs[f"n_{c}"].to_numpy() for c in (0, 1)])
     before, word = (model.index(pairs[k].to_numpy()) for k in ("before", "word"))
-    many = (count >= LEAST).any(axis=0) & (before < size - 1) & (word < size - 1)
-    before, word = before[many], word[many]
-    count = np.where(count[:, many] >= LEAST, count[:, many] - DISCOUNT, 0.0)
-    p = count / np.maximum(held[:, before], 1.0)
+    both = _discounted(count.sum(axis=0)) / np.maximum(held.sum(axis=0)[before], 1.0)
+    left = 1 - np.bincount(before, weights=both, minlength=size)
+    p = np.array([_discounted(k) for k in count]) / np.maximum(held[:, before], 1.0)
     for c in (0, 1):
         model.backoff[c] -= np.bincount(before, weights=p[c], minlength=size)
+    p += model.backoff[:, before] * both
+    model.backoff *= left
     key = before * size + word
     order = np.argsort(key)
-    model.pairs, model.pair_p = key[order], p[:, order]
+    model.pairs, model.pair_p = key[order], p[:, order].astype(np.float32)
     return model
 
 
 class Scorer:
     def __init__(self, models: Models) -> None:
-        self.models = models
+        self.models, self.alone = models, models.word_ratios()
         self.clear()
 
     def clear(self) -> None:
         self.words, self.at = Numbered(), Growing(np.int64)
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """(mean ratio, mean ratio of the most toxic words) of each text; zeros for a text without words."""
+        """(mean ratio, mean ratio of the most toxic words after the ones before, and alone) of each text; zeros without words."""
         if len(self.words) > CACHE_WORDS:
             self.clear()
         found = []
@@ -142,21 +154,22 @@ class Scorer:
         new, self.words.new = self.words.new, []
         self.at.extend(self.models.index(np.fromiter(map(word_hash, new), dtype=np.int64, count=len(new))))
         lens = np.array([len(f) for f in found])
-        out = np.zeros((len(texts), 2))
+        out = np.zeros((len(texts), 3))
         if not lens.sum():
             return out
         word = self.at.view()[np.concatenate(found)]
         doc = np.repeat(np.arange(len(texts)), lens)
         first = np.cumsum(lens) - lens
-        before = np.concatenate([[len(self.models.words)], word[:-1]])
-        before[first[lens > 0]] = len(self.models.words)
-        ratio = self.models.ratios(before, word)
+        before = np.concatenate([[0], word[:-1]])
+        before[first[lens > 0]] = 0
+        ratio, alone = self.models.ratios(before, word), self.alone[word]
         out[:, 0] = np.bincount(doc, weights=ratio, minlength=len(texts)) / np.maximum(lens, 1)
         for i, (begin, n) in enumerate(zip(first.tolist(), lens.tolist())):
-            own = ratio[begin : begin + n]
-            if n > TOP:
-                own = np.partition(own, n - TOP)[n - TOP :]
-            out[i, 1] = own.sum() / TOP
+            for k, every in ((1, ratio), (2, alone)):
+                own = every[begin : begin + n]
+                if n > TOP:
+                    own = np.partition(own, n - TOP)[n - TOP :]
+                out[i, k] = own.sum() / TOP
         return out
 
 
@@ -180,31 +193,35 @@ def fit(labelled: DataFrame) -> tuple[Models, np.ndarray] | None:
     sums = [F.sum(F.when((F.col("half") == h) & (F.col("toxic") == c), F.col("n")).otherwise(0)).alias(f"n_{h}{c}") for h, c in cells]
     pairs = stored(counts.groupBy("before", "word").agg(*sums), "pairs")
     n = {f"{h}{c}": F.col(f"n_{h}{c}") for h, c in cells}
-    seen = {"0": n["00"] + n["01"] > 0, "1": n["10"] + n["11"] > 0, "all": F.lit(True)}
-    words = pairs.groupBy("word").agg(
-        *(F.sum(v).alias(f"n_{k}") for k, v in n.items()), *(F.count_if(v).alias(f"cont_{k}") for k, v in seen.items())
-    )
-    held = pairs.groupBy("before").agg(*(F.sum(v).alias(f"h_{k}") for k, v in n.items())).withColumnRenamed("before", "word")
-    words = words.join(held, "word", "left").fillna(0).toArrow()
-    often = pairs.filter((n["00"] + n["10"] >= LEAST) | (n["01"] + n["11"] >= LEAST)).toArrow()
-    if not words.num_rows or not all(sum(words[f"n_{h}{c}"].to_numpy().sum() for h in (0, 1)) for c in (0, 1)):
+    if {c for h, c in cells if pairs.filter(n[f"{h}{c}"] > 0).limit(1).count()} != {0, 1}:
         return None
-    crossed = {h: _models(words, often, (1 - h,), str(1 - h)) for h in (0, 1)}
-    given = rows.sparkSession.sparkContext.broadcast(crossed)
+
+    def models(*halves: int) -> Models:
+        # Only what these halves have comes to the driver; the beginning (0) comes before words only.
+        own = [sum(n[f"{h}{c}"] for h in halves) for c in (0, 1)]
+        found = pairs.select("before", "word", *(k.cast("int").alias(f"n_{c}") for c, k in enumerate(own))).filter("n_0 + n_1 > 0")
+        as_word = found.selectExpr("word", "n_0", "n_1", "0 AS h_0", "0 AS h_1", "1 AS cont")
+        as_before = found.selectExpr("before", "0", "0", "n_0", "n_1", "0")
+        sums = [F.sum(k).cast("int").alias(k) for k in ("n_0", "n_1", "h_0", "h_1", "cont")]
+        words = as_word.union(as_before).groupBy("word").agg(*sums)
+        return _models(words.toArrow(), found.toArrow())
+
+    given = rows.sparkSession.sparkContext.broadcast({h: models(1 - h) for h in (0, 1)})
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers = {h: Scorer(m) for h, m in given.value.items()}
         for batch in each_piece(batches, "text"):
             texts, halves = texts_of(batch, "text"), batch.column("half").to_pylist()
-            x = np.zeros((len(texts), 2))
+            x = np.zeros((len(texts), 3))
             for h, scorer in scorers.items():
                 own = [i for i, half in enumerate(halves) if half == h]
                 x[own] = scorer.features([texts[i] for i in own])
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column("toxic")], names=["x0", "x1", "y"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, x.T), batch.column("toxic")], names=["x0", "x1", "x2", "y"])
 
-    scored = rows.mapInArrow(score, "x0 double, x1 double, y int").toArrow()
-    x = np.column_stack([scored["x0"].to_numpy(), scored["x1"].to_numpy()])
-    return _models(words, often, (0, 1), "all"), _curve(x, scored["y"].to_numpy())
+    scored = rows.mapInArrow(score, "x0 double, x1 double, x2 double, y int").toArrow()
+    given.destroy()
+    x = np.column_stack([scored[k].to_numpy() for k in ("x0", "x1", "x2")])
+    return models(0, 1), _curve(x, scored["y"].to_numpy())
 
 
 def score(

@@ -186,6 +186,27 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score(none, labels).count() == 0
 
 
+def test_toxicity_of_rare_words(spark):
+    """Words seen in a few labelled texts only tell held-out texts apart, among many chance words seen as rarely."""
+    draw = random.Random(11)
+    chance = ["".join(draw.choices("aeioulnrst", k=5)) for _ in range(4_000)]
+    common = [f"common{chr(97 + i)}" for i in range(20)]
+    rare = ["zworg", "bleph", "fangk", "nuskv", "tribq", "plimj"]
+
+    def text(toxic):
+        words = draw.choices(common, k=60) + draw.choices(chance, k=20) + (draw.sample(rare, 4) if toxic else draw.choices(chance, k=4))
+        draw.shuffle(words)
+        return " ".join(words)
+
+    # Each rare word occurs in about four of the six toxic labelled texts.
+    toxic = {i: i < 6 or i >= 350 for i in range(400)}
+    taught = spark.createDataFrame([(i, text(t)) for i, t in toxic.items()], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(toxic[i])) for i in range(300)], "doc_id bigint, toxic int")
+    found = {r.doc_id: r.score for r in toxicity.score(taught, labels).collect()}
+    pairs = [(found[a], found[b]) for a in range(350, 400) for b in range(300, 350)]
+    assert sum((a > b) + (a == b) / 2 for a, b in pairs) >= 0.95 * len(pairs)
+
+
 def test_records(spark, docs, none):
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         definition = file.read()

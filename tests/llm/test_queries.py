@@ -96,6 +96,16 @@ def test_op7_held_out(spark, con):
     assert len(found) == con.execute("SELECT count(*) FROM documents").fetchone()[0] and held
 
 
+def test_op7_ranks_held_out_texts(spark):
+    import duckdb
+
+    large = SF_DIR.replace("sf0.001", "sf0.1")
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{large}/labels.parquet'").fetchall())
+    found = [(r.score, labels[r.doc_id]) for r in QUERIES["op7_toxicity"](spark, large).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    toxic, clean = ([s for s, y in found if y == k] for k in (1, 0))
+    assert sum((a > b) + (a == b) / 2 for a in toxic for b in clean) >= 0.93 * len(toxic) * len(clean)
+
+
 def test_op8_is_the_library(spark, texts):
     from tokenizers import Tokenizer
 
