@@ -3,8 +3,10 @@
 A text is its character n-grams (one to three letters, lower-cased, all else a gap), hashed to ``DIMS`` places, with
 logarithmic counts, weighted by inverse document frequency and scaled to length one. The training texts of a language
 are clustered by cosine into ``CENTROIDS`` centroids. A text takes the language of the centroid nearest by cosine, and
-is rejected if it has no letter or is farther from that centroid than the centroid's reach: half the similarity that
-all but ``FAR`` of its own training texts have. A centroid of few texts reaches as far as its language's farthest.
+is rejected if it has no letter or is farther from that centroid than the reach. The reach is pooled over all languages,
+so a language of few texts has it too: it parts best what training texts have with centroids of the other half of their
+language from what they have with the centroids of all other languages, as if their own had not been learned. Very short
+texts of a learned language may be beyond it. With a single language it is half of what all but ``FAR`` of its texts have.
 
 The training texts are a documented sample of about ``SAMPLE`` labelled rows per language, chosen by a hash of the id
 (all rows of a rarer language), read whole. The model is bounded by languages x CENTROIDS x DIMS.
@@ -27,7 +29,6 @@ CENTROIDS = 3
 SAMPLE = 1_000
 ROUNDS = 8
 FAR = 0.002
-FEW = 20
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)  # odd numbers that spread code points over 32 bits
 
 _LETTERS: list[np.ndarray] = []
@@ -69,7 +70,7 @@ class Model:
     weights: np.ndarray
     langs: list[str]  # of each centroid
     centroids: np.ndarray
-    reach: np.ndarray  # least similarity that is not rejected
+    reach: float  # least similarity that is not rejected
 
     def nearest(self, text: str) -> tuple[str, float, bool]:
         """(language, cosine, rejected)."""
@@ -78,11 +79,11 @@ class Model:
             return "und", 0.0, True
         cosines = self.centroids @ unit(counts, self.weights)
         best = int(np.argmax(cosines))
-        return self.langs[best], float(min(max(cosines[best], 0.0), 1.0)), bool(cosines[best] < self.reach[best])
+        return self.langs[best], float(min(max(cosines[best], 0.0), 1.0)), bool(cosines[best] < self.reach)
 
 
-def _clusters(rows: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids and the similarities of each centroid's members, by spherical k-means from rows near and far from the mean."""
+def _clusters(rows: np.ndarray, number: int) -> np.ndarray:
+    """Centroids by spherical k-means from rows near and far from the mean."""
     order = np.argsort(-(rows @ rows.mean(axis=0)), kind="stable")
     number = min(number, len(rows))
     centroids = rows[order[np.arange(number) * len(rows) // number]]
@@ -90,11 +91,18 @@ def _clusters(rows: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
         own = (rows @ centroids.T).argmax(axis=1)
         sums = np.array([rows[own == k].sum(axis=0) if (own == k).any() else c for k, c in enumerate(centroids)])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    cosines = rows @ centroids.T
-    own = cosines.argmax(axis=1)
-    reach = np.array([np.quantile(cosines[own == k, k], FAR) / 2 if (own == k).sum() >= FEW else np.inf for k in range(number)])
-    lowest = reach.min() if np.isfinite(reach).any() else 0.0
-    return centroids, np.where(np.isfinite(reach), reach, lowest)
+    return centroids
+
+
+def _reach(own: np.ndarray, foreign: np.ndarray) -> float:
+    """The similarity with the least sum of the shares of ``own`` below it and of ``foreign`` above it."""
+    own, foreign = np.sort(own), np.sort(foreign)
+    if not len(own) or not len(foreign):
+        return float(np.quantile(own, FAR) / 2) if len(own) else 0.0
+    values = np.unique(np.concatenate([own, foreign]))
+    cuts = (values[1:] + values[:-1]) / 2 if len(values) > 1 else values
+    wrong = np.searchsorted(own, cuts) / len(own) - np.searchsorted(foreign, cuts) / len(foreign)
+    return float(cuts[wrong.argmin()])
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
@@ -128,13 +136,32 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
         texts = np.array([unit(np.frombuffer(g, dtype=np.float32).astype(float), weights) for g in sorted(frame["grams"])])
-        found, reach = _clusters(texts, centroids)
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": [c.tobytes() for c in found], "reach": reach})
+        halves = [texts[::2], texts[1::2]]
+        own = [(a @ _clusters(b, centroids).T).max(axis=1) for a, b in (halves, halves[::-1]) if len(texts) > 1]
+        row = {"lang": frame["lang"].iloc[0], "centroids": _clusters(texts, centroids).tobytes(), "own": np.concatenate([*own, []])}
+        return pd.DataFrame([row])
 
     # A group is a language's sample, so it is bounded.
-    found = sorted(counts.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, reach double").collect())
-    stack = np.array([np.frombuffer(r["centroid"]) for r in found]).reshape(-1, DIMS)
-    return Model(weights, [r["lang"] for r in found], stack, np.array([r["reach"] for r in found]))
+    found = sorted(counts.groupBy("lang").applyInPandas(cluster, "lang string, centroids binary, own array<double>").collect())
+    stacks = [np.frombuffer(r["centroids"]).reshape(-1, DIMS) for r in found]
+    langs = [r["lang"] for r, own in zip(found, stacks) for _ in own]
+    stack = np.concatenate([np.zeros((0, DIMS)), *stacks])
+    given = counts.sparkSession.sparkContext.broadcast((np.array(langs), stack))
+
+    def left_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, centres = given.value
+        for batch in batches:
+            cosines = []
+            for lang, packed in zip(batch.column("lang").to_pylist(), batch.column("grams").to_pylist()):
+                others = names != lang
+                if others.any():
+                    text = unit(np.frombuffer(packed, dtype=np.float32).astype(float), weights)
+                    cosines.append(float((centres @ text)[others].max()))
+            yield pa.RecordBatch.from_arrays([pa.array(cosines, pa.float64())], names=["cosine"])
+
+    # One number for each sampled text.
+    foreign = counts.mapInArrow(left_out, "cosine double").toArrow()["cosine"].to_numpy()
+    return Model(weights, langs, stack, _reach(np.array([c for r in found for c in r["own"]]), foreign))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

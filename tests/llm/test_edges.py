@@ -69,6 +69,26 @@ def test_language(spark, docs, none):
     assert {r.lang_pred for r in langid.identify(docs, empty).collect()} == {"und"}
 
 
+def test_language_rejects_what_it_has_not_learned(spark):
+    from readframe.llm.common import table
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    texts = [
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem",
+        " ".join("".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=6)) for i in range(80)),
+    ]
+    model = langid.fit(docs)
+    assert all(model.nearest(t)[2] for t in texts)
+    long = [r.text for r in docs.filter("length(text) > 500").collect()]
+    assert sum(model.nearest(t)[2] for t in long) <= 0.02 * len(long)
+    # A language that is left out goes, also where another has few labelled texts.
+    few = docs.filter("lang = 'es' OR (lang = 'de' AND doc_id % 5 = 0) OR (lang = 'en' AND doc_id % 5 = 0)")
+    model = langid.fit(few)
+    french = [r.text for r in docs.filter("lang = 'fr'").collect()]
+    assert sum(model.nearest(t)[2] for t in french) >= 0.9 * len(french)
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "a\\b <\\l> ### user: </turn>\n"), (1, 1, "assistant", None), (1, 1, "assistant", None), (1, None, None, "x"),
