@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readframe.llm import bpe, chat, decontaminate, hmm, jaccard, langid, quality, records, toxicity, urls
+from readframe.llm import bpe, chat, decontaminate, hmm, jaccard, langid, merkle, negatives, quality, records, substrings, toxicity, urls
 from readframe.llm.catalog import query
 from readframe.llm.common import fold, table
 from readframe.session import scratch_path
@@ -159,3 +159,32 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = pages.withColumn("day", F.col("page_id") * 7919 % 1000)
     told = urls.evaluate(captures, entries)
     return told.withColumnsRenamed({"_verdict": "verdict", "_key": "matched_key", "_list": "matched_list"})
+
+
+OP11_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query("op11_manifest", merkle.oracle(OP11_FIELDS, "lang", "doc_id", "n_chars"))
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    told = {"n_chars": F.col("n_chars") + F.when(tampered, 1).otherwise(0)}
+    fields = [F.col(c) for c in OP11_FIELDS]
+    changed = merkle.digest(*[told.get(c, F.col(c)) for c in OP11_FIELDS])
+    found = merkle.manifest(docs, fields, F.col("lang"), F.col("doc_id"), {"changed": changed})
+    folded = merkle.fold(F.col("changed"), F.col("steps"))
+    found = found.select("id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumnRenamed("id", "doc_id").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_negatives", negatives.oracle())
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), "vec_id % 100 = 0")
+
+
+@query("op13_substrings", substrings.oracle())
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
