@@ -205,16 +205,16 @@ def manifest(
     )
     over = build(parts, ["part"], stride)
     none = F.array().cast("array<binary>")
-    root = F.broadcast(over.tops.select(F.col("digest").alias("root")))  # one row
+    top = over.tops.first()  # one digest, none without rows
+    root = F.lit(None if top is None else bytes(top["digest"]).hex()).cast("string").alias("root")
     heads = over.proofs(over.tops.select("tree", none.alias("steps")))
     heads = stored(heads.select(F.col("own.part").alias("tree"), F.col("digest").alias("subroot"), "steps"), "heads")
     found = trees.proofs(heads.select("tree", "steps"))
     subroots = heads.select("tree", "subroot")
     subroots = F.broadcast(subroots) if subroots.count() <= BROADCAST_SPANS else subroots
-    hexed = lambda c: F.lower(F.hex(c)).alias(c)
-    found = found.join(subroots, "tree").withColumn("_one", F.lit(1)).join(root.withColumn("_one", F.lit(1)), "_one")
-    return found.select(
-        "own.id", F.lower(F.hex("digest")).alias("leaf"), hexed("subroot"), hexed("root"), "steps", *[f"own.{name}" for name in carried]
+    hexed = lambda c, name: F.lower(F.hex(c)).alias(name)
+    return found.join(subroots, "tree").select(
+        "own.id", hexed("digest", "leaf"), hexed("subroot", "subroot"), root, "steps", *[f"own.{name}" for name in carried]
     )
 
 
