@@ -7,8 +7,9 @@ token's bytes reach under all lower ranks. With these rows a contraction only ma
 all occurrences of the lowest pair in one step is the same as taking them one by one. A rank file in which some
 token does not come down to two parts is refused.
 
-Each worker process keeps the words it has contracted, up to ``CACHE_WORDS``; then it forgets them all.
-There is no shuffle.
+A task keeps the words it has contracted, up to about ``CACHE_BYTES``; then it forgets them all, and at its end it frees
+its tables. Ids are decoded by an ordered aggregation over (text, position, id) rows joined with the vocabulary;
+``round_trip`` encodes and decodes in one pass. There is no shuffle.
 """
 
 from __future__ import annotations
@@ -18,16 +19,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from readframe.llm.common import Growing, Numbered, each_piece, gather, texts_of
 
-CACHE_WORDS = 400_000
+CACHE_BYTES, WORD_BYTES = 40_000_000, 160  # of the words kept; what a word takes besides its bytes and ids
+PIECE, ROWS = 2_000_000, 500_000  # bytes of text worked on at a time; (text, position, id) rows decoded at a time
 # Words contracted by one query; longer words go through the keyed recursion, which keeps one row per position.
 QUERY_WORDS, QUERY_BYTES, LONG_WORD = 32_768, 1_000_000, 256
 
-SCHEMA = "doc_id {id}, n_tokens bigint, ids binary, decoded binary"
+SCHEMA = "doc_id {id}, n_tokens bigint, ids binary"
 
 # Rows stay in (wid, pos) order: one thread, and join sides as written. The error() guards it.
 # ``best`` is the lowest rank of the word, null when the word is done; done words leave the recursion.
@@ -68,9 +69,10 @@ WITH RECURSIVE run(wid, pos, tok, step) USING KEY (wid, pos) AS (
           (SELECT max(step) FROM live) + 1 AS step FROM moved))
 SELECT wid, pos, tok FROM run WHERE tok >= 0
 """
-_FINAL = """
-SELECT wid, list(tok ORDER BY pos) AS ids, unhex(string_agg(bytes, '' ORDER BY pos)) AS decoded
-FROM ({contracted}) JOIN vocabulary ON id = tok GROUP BY wid ORDER BY wid
+_FINAL = "SELECT wid, list(tok ORDER BY pos) AS ids FROM ({contracted}) GROUP BY wid ORDER BY wid"
+_DECODED = """
+SELECT doc, unhex(string_agg(CASE WHEN bytes IS NULL THEN error('unknown token id') ELSE bytes END, '' ORDER BY pos))
+FROM given LEFT JOIN vocabulary USING (id) GROUP BY doc
 """
 
 
@@ -101,18 +103,54 @@ def merge_rows(ranks: dict[bytes, int]) -> np.ndarray:
     return np.array(rows, dtype=np.int64).reshape(-1, 3)
 
 
-class Contractor:
-    """A DuckDB connection with the merge table and the words contracted so far."""
+def _connection():
+    import duckdb
+
+    return duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+
+
+def _store(con, name: str, rows: pa.Table) -> None:
+    """``rows`` as a table of the connection, which keeps no other copy of them."""
+    con.register("given", rows)
+    con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+    con.unregister("given")
 
-    def __init__(self, merges: np.ndarray, tokens: list[tuple[int, bytes]]) -> None:
-        import duckdb
 
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self.con.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")
-        self.con.register("given", pa.table({"pair": merges[:, 0] * 2**32 + merges[:, 1], "rank": merges[:, 2]}))
-        self.con.execute("CREATE TABLE merges AS SELECT pair, CAST(rank AS INTEGER) AS rank FROM given")
-        self.con.register("given", pa.table({"id": [i for i, _ in tokens], "bytes": [b.hex() for _, b in tokens]}))
-        self.con.execute("CREATE TABLE vocabulary AS SELECT CAST(id AS INTEGER) AS id, bytes FROM given")
+class Decoder:
+    """The vocabulary as a table; ids to bytes by an ordered aggregation."""
+
+    def __init__(self, con, tokens: list[tuple[int, bytes]]) -> None:
+        self.con = con
+        _store(con, "vocabulary", pa.table({"id": pa.array([i for i, _ in tokens], pa.int64()), "bytes": [b.hex() for _, b in tokens]}))
+
+    def decode(self, texts: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each text's ids; a long text is decoded in runs of ``ROWS`` ids."""
+        out, begin = [b""] * len(texts), 0
+        runs = [(row, ids[k : k + ROWS]) for row, ids in enumerate(texts) for k in range(0, len(ids), ROWS)]
+        while begin < len(runs):
+            end, size = begin, 0
+            while end < len(runs) and (end == begin or size + len(runs[end][1]) <= ROWS):
+                size += len(runs[end][1])
+                end += 1
+            own = [ids for _, ids in runs[begin:end]]
+            doc = np.repeat(np.arange(begin, end), [len(i) for i in own])
+            self.con.register("given", pa.table({"doc": doc, "pos": np.arange(len(doc)), "id": np.concatenate(own).astype(np.int64)}))
+            for run, found in sorted(self.con.execute(_DECODED).fetchall()):
+                row = runs[run][0]
+                out[row] = out[row] + found if out[row] else found
+            self.con.unregister("given")
+            begin = end
+        return out
+
+
+class Contractor:
+    """A connection with the merge table and the words contracted so far."""
+
+    def __init__(self, con, merges: np.ndarray, tokens: list[tuple[int, bytes]]) -> None:
+        self.con = con
+        con.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")
+        rank = pa.array(merges[:, 2].astype(np.int32))
+        _store(con, "merges", pa.table({"pair": merges[:, 0] * 2**32 + merges[:, 1], "rank": rank}))
         self.byte_id = np.zeros(256, dtype=np.int32)
         for i, b in tokens:
             if len(b) == 1:
@@ -120,18 +158,20 @@ class Contractor:
         self.clear()
 
     def clear(self) -> None:
-        self.words = Numbered()
-        self.ids, self.ids_len, self.raw, self.raw_len = (Growing(t) for t in (np.uint32, np.int64, np.uint8, np.int64))
+        self.words, self.kept = Numbered(), 0
+        self.ids, self.ids_len = Growing(np.uint32), Growing(np.int32)
 
     def contract(self, words: list[bytes]) -> pa.Table:
-        """(wid, ids, decoded) of each word, in order."""
+        """(wid, ids) of each word, in order."""
         lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         wid = np.repeat(np.arange(len(words), dtype=np.int32), lens)
         pos = (np.arange(len(wid)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
         tok = self.byte_id[np.frombuffer(b"".join(words), dtype=np.uint8)]
         self.con.register("start", pa.table({"wid": wid, "pos": pos, "tok": tok}))
         query = _LONG if lens.max() > LONG_WORD else _SHORT
-        return self.con.sql(_FINAL.format(contracted=query)).to_arrow_table()
+        found = self.con.sql(_FINAL.format(contracted=query)).to_arrow_table()
+        self.con.unregister("start")
+        return found
 
     def learn(self) -> None:
         """Contract the words that are new since the last call."""
@@ -144,49 +184,32 @@ class Contractor:
                     break
                 size += len(new[end])
                 end += 1
-            found = self.contract(new[begin:end])
-            for column, flat, lens in (("ids", self.ids, self.ids_len), ("decoded", self.raw, self.raw_len)):
-                values = found[column].combine_chunks()
-                if column == "ids":
-                    flat.extend(values.flatten().to_numpy().astype(np.uint32))
-                    lens.extend(np.diff(values.offsets.to_numpy()))
-                else:
-                    flat.extend(np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8))
-                    lens.extend(np.asarray(pc.binary_length(values), dtype=np.int64))
+            found = self.contract(new[begin:end])["ids"].combine_chunks()
+            self.ids.extend(found.flatten().to_numpy().astype(np.uint32))
+            self.ids_len.extend(np.diff(found.offsets.to_numpy()))
+            self.kept += sum(map(len, new[begin:end])) + WORD_BYTES * (end - begin)
             begin = end
 
-    def encode(self, texts: list[str], findall) -> list[tuple[int, bytes, bytes]]:
-        """(number of tokens, ids as little-endian uint32, decoded bytes) of each text."""
-        if len(self.words) > CACHE_WORDS:
+    def encode(self, texts: list[str], findall) -> list[np.ndarray]:
+        """The ids of each text."""
+        if self.kept > CACHE_BYTES:
             self.clear()
         number, found, counts = self.words.__getitem__, [], []
         for text in texts:
             matches = findall(text)
-            seen = np.fromiter(map(number, matches), dtype=np.int64, count=len(matches))
+            seen = np.fromiter(map(number, matches), dtype=np.int32, count=len(matches))
             found.append(seen)
             counts.append(len(seen))
         self.learn()
-        at = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+        at = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
         cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        out = []
-        for flat, lens in ((self.ids.view(), self.ids_len.view()), (self.raw.view(), self.raw_len.view())):
-            starts = np.cumsum(lens) - lens
-            got = gather(flat, starts[at], lens[at])
-            ends = np.concatenate([[0], np.cumsum(lens[at])]).astype(np.int64)[cuts]
-            out.append([got[a:b] for a, b in zip(ends[:-1], ends[1:])])
-        return [(len(i), i.astype("<u4").tobytes(), d.tobytes()) for i, d in zip(*out)]
-
+        lens = self.ids_len.view().astype(np.int64)
+        got = gather(self.ids.view(), (np.cumsum(lens) - lens)[at], lens[at])
+        ends = np.concatenate([[0], np.cumsum(lens[at])])[cuts]
+        return [got[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
-_CONTRACTORS: dict[str, Contractor] = {}
 
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token ids of every whole text and the bytes they decode to.
-
-    Returns ``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit), ``decoded``, one row per input row, repeated
-    rows included. A null text is an empty one: no tokens, empty binaries. A null id stays null. Other columns are
-    not read. Ranks and merges (bounded by the vocabulary file, read on the driver) are broadcast.
-    """
+def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, back: bool) -> DataFrame:
     import regex
 
     ranks = read_ranks(ranks_path)
@@ -197,21 +220,40 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     regex.compile(pattern)  # fails here rather than in a task
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        findall = regex.compile(pattern).findall
-        if ranks_path not in _CONTRACTORS:
-            _CONTRACTORS.clear()
-            _CONTRACTORS[ranks_path] = Contractor(*given.value)
-        contractor = _CONTRACTORS[ranks_path]
-        for batch in each_piece(batches, "text"):
-            rows = contractor.encode(texts_of(batch, "text"), findall)
-            n, ids, decoded = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
-                names=["doc_id", "n_tokens", "ids", "decoded"],
-            )
+        findall, con = regex.compile(pattern).findall, _connection()
+        try:
+            contractor = Contractor(con, *given.value)
+            decoder = Decoder(con, given.value[1]) if back else None
+            for batch in each_piece(batches, "text", PIECE):
+                ids = contractor.encode(texts_of(batch, "text"), findall)
+                columns = [
+                    batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
+                ]
+                names = ["doc_id", "n_tokens", "ids"]
+                if back:
+                    columns.append(pa.array(decoder.decode([np.frombuffer(b, dtype="<u4") for b in columns[2].to_pylist()]), pa.binary()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        finally:
+            con.close()
 
     source = docs.selectExpr(f"`{id_col}` AS doc_id", f"CAST(`{text_col}` AS STRING) AS text")
-    return source.mapInArrow(run, SCHEMA.format(id=source.schema["doc_id"].dataType.simpleString()))
+    schema = SCHEMA.format(id=source.schema["doc_id"].dataType.simpleString())
+    return source.mapInArrow(run, schema + ", decoded binary" if back else schema)
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Token ids of every whole text: ``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit), one row per input row.
+
+    Repeated rows stay. A null text is an empty one: no tokens, an empty binary. A null id stays null. Other columns are
+    not read. Ranks and merges (bounded by the vocabulary file, read on the driver) are broadcast.
+    """
+    return _coded(docs, ranks_path, pattern, id_col, text_col, False)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``encode``, with ``decoded``: the bytes that the ids, and nothing else, decode to."""
+    return _coded(docs, ranks_path, pattern, id_col, text_col, True)
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -223,22 +265,14 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     given = encoded.sparkSession.sparkContext.broadcast(tokens)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import duckdb
-
-        con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        con.register("given", pa.table({"id": [i for i, _ in given.value], "bytes": [b.hex() for _, b in given.value]}))
-        con.execute("CREATE TABLE vocabulary AS SELECT CAST(id AS BIGINT) AS id, bytes FROM given")
-        for batch in each_piece(batches, "ids"):
-            ids = [np.frombuffer(b or b"", dtype="<u4") for b in batch.column("ids").to_pylist()]
-            row = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-            con.register("rows", pa.table({"doc": row, "pos": np.arange(len(row)), "id": np.concatenate(ids).astype(np.int64)}))
-            got = dict(con.execute(
-                "SELECT doc, unhex(string_agg(CASE WHEN bytes IS NULL THEN error('unknown token id') ELSE bytes END, '' "
-                "ORDER BY pos)) FROM rows LEFT JOIN vocabulary USING (id) GROUP BY doc"
-            ).fetchall())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([got.get(i, b"") for i in range(len(ids))], pa.binary())], names=["doc_id", "decoded"]
-            )
+        con = _connection()
+        try:
+            decoder = Decoder(con, given.value)
+            for batch in each_piece(batches, "ids"):
+                found = decoder.decode([np.frombuffer(b or b"", dtype="<u4") for b in batch.column("ids").to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "decoded"])
+        finally:
+            con.close()
 
     source = encoded.selectExpr(f"`{id_col}` AS doc_id", f"`{ids_col}` AS ids")
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, decoded binary")

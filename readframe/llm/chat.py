@@ -125,21 +125,31 @@ def _segment(text: Column, loss: Column) -> Column:
 
 
 def _joined(segments: DataFrame) -> DataFrame:
-    """The text of the segments in order, first per stretch, then per conversation."""
+    """The text of the segments in order and the turns out of order, first per stretch, then per conversation."""
     parts = F.array_sort(F.collect_list(F.struct("turn_no", "part", "text", "loss")))
-    near = segments.groupBy("conv_id", F.floor(F.col("turn_no") / STRETCH).alias("stretch")).agg(parts.alias("p"))
+    near = segments.groupBy("conv_id", F.floor(F.col("turn_no") / STRETCH).alias("stretch")).agg(
+        parts.alias("p"), F.count_if((F.col("part") == 0) & ~F.col("turn_ok")).alias("bad")
+    )
     near = near.select(
         "conv_id",
         "stretch",
         F.array_join(F.col("p.text"), "").alias("text"),
         F.array_join(F.filter("p", lambda x: x["loss"])["text"], "").alias("loss_text"),
+        "bad",
+    )
+    whole = near.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("stretch", "text", "loss_text"))).alias("p"), F.sum("bad").alias("n_bad_turns")
+    )
+    return whole.select(
+        "conv_id", F.array_join("p.text", "").alias("formatted"), F.array_join("p.loss_text", "").alias("loss_text"), "n_bad_turns"
     )
-    whole = near.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("stretch", "text", "loss_text"))).alias("p"))
-    return whole.select("conv_id", F.array_join("p.text", "").alias("formatted"), F.array_join("p.loss_text", "").alias("loss_text"))
 
 
 def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame:
-    """``conv_id, formatted, turns (role, text), loss_text`` parsed from the segments' text alone."""
+    """``conv_id, formatted, turns (role, text), loss_text, n_bad_turns``; turns are parsed from the segments' text alone.
+
+    ``n_bad_turns`` counts the turns that the machine does not allow where they stand.
+    """
     turn = F.filter(F.split("formatted", re.escape(template.after)), lambda x: x != "")
     skip = len(template.before)
 
@@ -149,5 +159,6 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
         return F.struct(template.unescape(role, True).alias("role"), template.unescape(text).alias("text"))
 
     return _joined(segments).select(
-        "conv_id", "formatted", F.transform(turn, parse).alias("turns"), template.unescape(F.col("loss_text")).alias("loss_text")
+        "conv_id", "formatted", F.transform(turn, parse).alias("turns"), template.unescape(F.col("loss_text")).alias("loss_text"),
+        "n_bad_turns",
     )

@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from readframe.llm.common import each_piece, plain_words, texts_of
@@ -126,50 +127,28 @@ class Automaton:
         return most
 
 
-_BUILT: dict[int, Automaton] = {}
-
-
-def _automaton(given, window: int) -> Automaton:
-    """The automaton of a broadcast lot; a worker keeps the last one."""
-    if (given.id, window) not in _BUILT:
-        _BUILT.clear()
-        _BUILT[given.id, window] = Automaton(given.value, window)
-    return _BUILT[given.id, window]
-
-
-class Lot:
-    """A broadcast with a number of its own."""
-
-    count = 0
-
-    def __init__(self, spark, items) -> None:
-        Lot.count += 1
-        self.id, self.given = Lot.count, spark.sparkContext.broadcast(items)
-
-    @property
-    def value(self):
-        return self.given.value
-
-
-def _lots(items: DataFrame, item_col: str, text_col: str, lot_words: int) -> list[Lot]:
+def _lots(items: DataFrame, item_col: str, text_col: str, lot_words: int) -> list[Broadcast]:
     rows = items.selectExpr(f"CAST(`{item_col}` AS STRING) AS item", f"CAST(`{text_col}` AS STRING) AS text").toLocalIterator()
-    lots, lot, size = [], [], 0
+    lots, lot, size, context = [], [], 0, items.sparkSession.sparkContext
     for row in rows:
         words = plain_words(row["text"] or "")
         if lot and size + len(words) > lot_words:
-            lots.append(Lot(items.sparkSession, lot))
+            lots.append(context.broadcast(lot))
             lot, size = [], 0
         lot.append((row["item"], words))
         size += len(words)
-    return [*lots, Lot(items.sparkSession, lot)] if lot else lots
+    return [*lots, context.broadcast(lot)] if lot else lots
 
 
-def _found(lots: list[Lot], texts: list[str], window: int) -> list[tuple[int, np.ndarray, set, int]]:
-    """(words, hit flags, item names, longest match) of each text."""
+def _found(lots: list[Broadcast], texts: list[str], window: int, built: dict[int, Automaton]) -> list[tuple[int, np.ndarray, set, int]]:
+    """(words, hit flags, item names, longest match) of each text. ``built``, a task's own, keeps the last automaton."""
     words = [plain_words(t) for t in texts]
     out = [[len(w), np.zeros(len(w), dtype=bool), set(), 0] for w in words]
-    for lot in lots:
-        automaton = _automaton(lot, window)
+    for n, lot in enumerate(lots):
+        if n not in built:
+            built.clear()
+            built[n] = Automaton(lot.value, window)
+        automaton = built[n]
         for row, own in zip(out, words):
             row[3] = max(row[3], automaton.search(own, row[1], row[2]))
     return out
@@ -200,8 +179,9 @@ def matches(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("begin", pa.int32()), ("end", pa.int32())])
+        built: dict[int, Automaton] = {}
         for batch in each_piece(batches, "text"):
-            found = _found(lots, texts_of(batch, "text"), window)
+            found = _found(lots, texts_of(batch, "text"), window, built)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -239,10 +219,11 @@ def clean(
     columns_of, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built: dict[int, Automaton] = {}
         for batch in each_piece(batches, text_col):
             texts = batch.column(at).to_pylist()
             kept, new = [], []
-            for row, (n, hit, _, _) in enumerate(_found(lots, [t or "" for t in texts], window)):
+            for row, (n, hit, _, _) in enumerate(_found(lots, [t or "" for t in texts], window, built)):
                 if hit.any():
                     if hit.sum() > covered * n:
                         continue

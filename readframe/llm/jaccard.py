@@ -24,7 +24,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from readframe.llm.common import Numbered, each_piece, stored, texts_of, words_of
+from readframe.llm.common import Numbered, each_piece, fresh, stored, texts_of, words_of
 
 PERCENT, WORDS = 85, 4
 BUCKET_SHINGLES = 2_000_000  # occurrences in a bucket, about
@@ -83,7 +83,10 @@ def _set_rows(words: int):
 
 
 def _dealt(words: int, bits: int):
-    """(bucket, part, piece, docs, counts, hashes): a piece's shingles of one bucket, in document order, 5 bytes each."""
+    """(bucket, part, piece, docs, at, counts, hashes): a piece's shingles of one bucket, in document order, 5 bytes each.
+
+    ``at`` and ``counts`` tell which documents have how many of them: the steps from each such document to the next.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -101,10 +104,10 @@ def _dealt(words: int, bits: int):
             docs = np.array([digest(s) if len(s) else 0 for s in sets], dtype=np.int64).tobytes() + sizes.tobytes()
             rows = []
             for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(flat)]):
-                counts = np.bincount(doc[begin:end], minlength=len(sets)).astype(np.uint32)
+                at, counts = np.unique(doc[begin:end], return_counts=True)
                 packed = flat[begin:end].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-                rows.append((int(bucket[begin]), None if rows else docs, counts.tobytes(), packed))
-            bucket_of, docs_of, counts_of, hashes_of = zip(*rows)
+                rows.append((int(bucket[begin]), None if rows else docs, *_sparse(at, counts), packed))
+            bucket_of, docs_of, at_of, counts_of, hashes_of = zip(*rows)
             n = len(rows)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -112,15 +115,24 @@ def _dealt(words: int, bits: int):
                     pa.array([part] * n, pa.int32()),
                     pa.array([piece] * n, pa.int32()),
                     pa.array(docs_of, pa.binary()),
+                    pa.array(at_of, pa.binary()),
                     pa.array(counts_of, pa.binary()),
                     pa.array(hashes_of, pa.binary()),
                 ],
-                names=["bucket", "part", "piece", "docs", "counts", "hashes"],
+                names=["bucket", "part", "piece", "docs", "at", "counts", "hashes"],
             )
 
     return run
 
 
+def _sparse(at: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    return np.diff(at, prepend=0).astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes()
+
+
+def _dense(at: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(np.frombuffer(at, dtype=np.uint32).astype(np.int64)), np.frombuffer(counts, dtype=np.uint32)
+
+
 def _unpack(packed: bytes) -> np.ndarray:
     wide = np.zeros((len(packed) // 5, 8), dtype=np.uint8)
     wide[:, :5] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 5)
@@ -128,16 +140,18 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 
 def _shared_in_bucket(table: pa.Table) -> pa.Table:
-    """Replaces each piece's hashes by the number of each document's that another document has."""
+    """Replaces each piece's hashes by the number of each document's that another document has, where it has any."""
     rows = [_unpack(h) for h in table["hashes"].to_pylist()]
     _, inverse, df = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    shared, out, at = (df >= 2)[inverse], [], 0
-    for hashes, counts in zip(rows, table["counts"].to_pylist()):
-        counts = np.frombuffer(counts, dtype=np.uint32)
-        doc = np.repeat(np.arange(len(counts)), counts)
-        out.append(np.bincount(doc[shared[at : at + len(hashes)]], minlength=len(counts)).astype(np.uint32).tobytes())
-        at += len(hashes)
-    return table.select(["part", "piece", "docs"]).append_column("counts", pa.array(out, pa.binary()))
+    shared, out, begin = (df >= 2)[inverse], [], 0
+    for hashes, at, counts in zip(rows, table["at"].to_pylist(), table["counts"].to_pylist()):
+        doc = np.repeat(*_dense(at, counts))
+        out.append(_sparse(*np.unique(doc[shared[begin : begin + len(hashes)]], return_counts=True)))
+        begin += len(hashes)
+    told = table.select(["part", "piece", "docs"])
+    for name, column in zip(("at", "counts"), zip(*out)):
+        told = told.append_column(name, pa.array(column, pa.binary()))
+    return told
 
 
 def _linkable(percent: int):
@@ -146,7 +160,10 @@ def _linkable(percent: int):
     def run(table: pa.Table) -> pa.Table:
         docs = np.frombuffer(next(d for d in table["docs"].to_pylist() if d), dtype=np.int64)
         node, n = docs[: len(docs) // 2], docs[len(docs) // 2 :]
-        shared = sum(np.frombuffer(c, dtype=np.uint32).astype(np.int64) for c in table["counts"].to_pylist())
+        shared = np.zeros(len(n), dtype=np.int64)
+        for packed in zip(table["at"].to_pylist(), table["counts"].to_pylist()):
+            at, counts = _dense(*packed)
+            shared[at] += counts
         return pa.table({"node": node[(n > 0) & (100 * shared >= percent * n)]})
 
     return run
@@ -380,9 +397,9 @@ def join(
 
     named = source.filter("doc_id IS NOT NULL")
     dealt = named.mapInArrow(
-        _dealt(words, bits), "bucket int, part int, piece int, docs binary, counts binary, hashes binary"
+        _dealt(words, bits), "bucket int, part int, piece int, docs binary, at binary, counts binary, hashes binary"
     )
-    counted = dealt.groupBy("bucket").applyInArrow(_shared_in_bucket, "part int, piece int, docs binary, counts binary")
+    counted = dealt.groupBy("bucket").applyInArrow(_shared_in_bucket, "part int, piece int, docs binary, at binary, counts binary")
     nodes = counted.groupBy("part", "piece").applyInArrow(_linkable(percent), "node bigint").distinct()
     chosen = stored(nodes.join(classes, "node").select("node", F.col("first").alias("doc_id")), "linkable")
     small = chosen.count() <= BROADCAST_IDS
@@ -416,12 +433,27 @@ def join(
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Rows without an id stay.
+    """``docs`` with one row of each component: the one with the smallest id, among equal ids with the smallest hash.
 
-    Of rows with that same id all stay. All columns are kept.
+    Rows are told apart by id and text, hashed to 64 bits, so of rows with one id only copies of other rows go, and rows
+    without an id take part; one of these stays where no copy has an id. Of rows alike in id and text one stays, whatever
+    their other columns hold. Rows without words all stay. All columns are kept.
     """
-    found = join(docs, percent, words, id_col, text_col)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    row = fresh(docs, "_row")
+    named = docs.withColumn(row, F.xxhash64(F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.lit(percent)))
+    found = join(named, percent, words, row, text_col).filter("n_shingles > 0")
+    ids = named.select(F.col(row).alias("doc_id"), F.col(id_col).alias("id")).groupBy("doc_id").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    found = stored(found.select("doc_id", "component_id").distinct().join(ids, "doc_id"), "rows")
+    first = found.groupBy("component_id").agg(F.min_by("doc_id", F.struct(F.col("id").isNull(), "id", "doc_id")).alias("first"))
+    gone = found.join(first, "component_id").filter("doc_id <> first").select(F.col("doc_id").alias(row))
     gone = stored(gone, "gone")
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, id_col, "left_anti").select(docs.columns)
+    kept = named.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, row, "left_anti")
+    again = stored(found.filter("n > 1").select(F.col("doc_id").alias(row)), "again")
+    n = again.count()
+    if not n:
+        return kept.select(docs.columns)
+    again = F.broadcast(again) if n <= BROADCAST_IDS else again
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    hashed = F.xxhash64(*[F.col(f.name) for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")])
+    one = kept.join(again, row, "left_semi").groupBy(row).agg(F.min_by(whole, hashed).alias("whole"))
+    return kept.join(again, row, "left_anti").select(docs.columns).unionByName(one.select("whole.*"))

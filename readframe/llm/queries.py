@@ -13,7 +13,7 @@ from readframe.session import scratch_path
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
@@ -22,14 +22,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok'))
+  UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')),
+judged AS (SELECT *, CASE lag(role) OVER own WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user'
+    ELSE lag(role) OVER own IS NULL AND role IN ('system', 'user') END AND (lead(role) OVER own IS NOT NULL OR role = 'assistant') AS ok
+  FROM turns WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length('### : </turn>') + 2 + length(replace(replace(replace(text, '\\', '\\b'), '#', '\\h'), '<', '\\l'))
-    + length(replace(replace(replace(replace(role, '\\', '\\b'), '#', '\\h'), '<', '\\l'), ':', '\\c'))) AS BIGINT) AS formatted_chars
-FROM turns GROUP BY conv_id
+    + length(replace(replace(replace(replace(role, '\\', '\\b'), '#', '\\h'), '<', '\\l'), ':', '\\c'))) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (NOT ok) AS n_bad_turns, bool_and(ok) AS valid_order
+FROM judged GROUP BY conv_id
 """
 
 
@@ -51,6 +55,8 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("bigint").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "n_bad_turns",
+        (F.col("n_bad_turns") == 0).alias("valid_order"),
     )
 
 
@@ -121,14 +127,14 @@ SELECT key, min(page_id) AS m FROM (
 OP4_ENTRIES = """
 SELECT CASE WHEN (m + k) % 2 = 0 THEN 'ads' ELSE 'spam' END AS list, key,
   CASE (m + k) % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'allow' END AS verdict, (m * 37 + k * 251) % 1000 AS day
-FROM keys, (SELECT * FROM (VALUES (0), (1), (2), (3)) AS t(k)) AS n
+FROM (SELECT key, m, {each} AS k FROM keys) AS n
 """
 OP4_HOSTS = """
 SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
   regexp_extract(url, '^[^:]+://[^/?#]*/([^/?#]+)', 1) AS part FROM pages
 """
 OP4_SQL = f"""
-WITH hosts AS ({OP4_HOSTS}), keys AS ({OP4_KEYS}), entries AS ({OP4_ENTRIES}),
+WITH hosts AS ({OP4_HOSTS}), keys AS ({OP4_KEYS}), entries AS ({OP4_ENTRIES.replace("{each}", "unnest(range(4))")}),
 daily AS (SELECT list, key, day, arg_max(coalesce(verdict, 'end'), CASE verdict WHEN 'block' THEN 2 WHEN 'allow' THEN 1 ELSE 0 END) AS verdict
   FROM entries GROUP BY list, key, day),
 changed AS (SELECT * FROM daily QUALIFY verdict IS DISTINCT FROM
@@ -155,7 +161,7 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     hosts = spark.sql(OP4_HOSTS.replace("FROM pages", "FROM {pages}"), pages=pages)
     listed = spark.sql(OP4_KEYS.replace("FROM hosts", "FROM {hosts}"), hosts=hosts)
-    entries = spark.sql(OP4_ENTRIES.replace("FROM keys", "FROM {listed}"), listed=listed)
+    entries = spark.sql(OP4_ENTRIES.replace("FROM keys", "FROM {listed}").replace("{each}", "explode(sequence(0, 3))"), listed=listed)
     captures = pages.withColumn("day", F.col("page_id") * 7919 % 1000)
     told = urls.evaluate(captures, entries)
     return told.withColumnsRenamed({"_verdict": "verdict", "_key": "matched_key", "_list": "matched_list"})

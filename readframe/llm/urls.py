@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from readframe.llm.common import stored
+from readframe.llm.common import fresh, stored
 
 PERIOD = 64
 BROADCAST_ROWS = 100_000
@@ -51,6 +51,8 @@ def intervals(entries: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", day_col: str = "day") -> DataFrame:
     """``captures`` with ``_verdict`` (block, allow or none), ``_key`` and ``_list`` (null for none).
 
+    Where ``captures`` has columns of these names, the new ones get one more underscore.
+
     Every row stays, repeated ones included; a null url or day is ``none``. Days are whole numbers. Of lists that give
     the same verdict on the same key, the first by name is reported.
     """
@@ -71,10 +73,13 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", day_
     rank = F.struct(F.length("key"), "key", F.col("verdict") == "block")
     found = valid.groupBy("_url", "_day", "key", "verdict").agg(F.min("list").alias("list"))
     found = found.groupBy("_url", "_day").agg(F.max_by(F.struct("verdict", "key", "list"), rank).alias("_f"))
-    told = captures.join(found, (F.col(url_col) == F.col("_url")) & (F.col(day_col).cast("bigint") == F.col("_day")), "left")
+    # The row in one column, so that no name of it meets another.
+    rows = captures.select(F.struct("*").alias("row"), F.col(url_col).alias("_url"), F.col(day_col).cast("bigint").alias("_day"))
+    told = rows.join(found, ["_url", "_day"], "left")
+    names = {n: fresh(captures, n) for n in ("_verdict", "_key", "_list")}
     return told.select(
-        *(captures[c] for c in captures.columns),
-        F.coalesce("_f.verdict", F.lit("none")).alias("_verdict"),
-        F.col("_f.key").alias("_key"),
-        F.col("_f.list").alias("_list"),
+        "row.*",
+        F.coalesce("_f.verdict", F.lit("none")).alias(names["_verdict"]),
+        F.col("_f.key").alias(names["_key"]),
+        F.col("_f.list").alias(names["_list"]),
     )

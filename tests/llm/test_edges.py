@@ -29,7 +29,7 @@ def none(docs):
 
 def test_bpe(spark, docs, none):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    coded = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     found = coded.collect()
     assert len(found) == len(TEXTS) + 2
     for r in found:
@@ -50,9 +50,9 @@ def test_long_words_as_the_library(word):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     import regex
 
-    contractor = bpe.Contractor(bpe.merge_rows(ranks), [(r, t) for t, r in ranks.items()])
-    ((n, ids, raw),) = contractor.encode([word], regex.compile(public_tokenizers.PATTERN).findall)
-    assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode_ordinary(word) and raw == word.encode()
+    con, tokens = bpe._connection(), [(r, t) for t, r in ranks.items()]
+    (ids,) = bpe.Contractor(con, bpe.merge_rows(ranks), tokens).encode([word], regex.compile(public_tokenizers.PATTERN).findall)
+    assert ids.tolist() == library.encode_ordinary(word) and bpe.Decoder(con, tokens).decode([ids[:0], ids]) == [b"", word.encode()]
 
 
 def test_language(spark, docs, none):
@@ -100,6 +100,7 @@ def test_chat(spark):
     assert [tuple(t) for t in back[1].turns] == [("", "x"), ("user", rows[0][3]), ("assistant", ""), ("assistant", "")]
     assert [tuple(t) for t in back[None].turns] == [("us:er", " </turn>\n### ")]
     assert [t.text for t in back[3].turns] == [f"t{i}" for i in range(600)]
+    assert {c: r.n_bad_turns for c, r in back.items()} == {1: 3, None: 1, 2: 2, 3: 0}
     assert back[3].loss_text == "".join(f"t{i}" for i in range(1, 600, 2))
     ok = {(r.conv_id, r.turn_no): r.turn_ok for r in segments.select("conv_id", "turn_no", "turn_ok").distinct().collect()}
     assert all(ok[3, i] for i in range(600)) and not ok[2, 0] and not ok[2, 1] and not ok[1, 3]
@@ -125,6 +126,10 @@ def test_urls(spark):
     assert got == [(1, "none"), (2, "block"), (2, "block"), (3, "allow"), (4, "allow"), (5, "block"), (6, "none"), (7, "none"),
                    (8, "none"), (9, "none")]
     assert {r._verdict for r in urls.evaluate(captures, entries.filter("false")).collect()} == {"none"}
+    clashing = captures.withColumns({c: F.lit("own") for c in ("_url", "_day", "_f", "_verdict", "_key", "row", "_period")})
+    told = urls.evaluate(clashing, entries)
+    assert told.columns == [*clashing.columns, "__verdict", "__key", "_list"]
+    assert sorted((r.page_id, r["__verdict"]) for r in told.collect()) == got
     assert urls.evaluate(captures.filter("false"), entries).count() == 0
 
 
@@ -258,6 +263,32 @@ def test_jaccard(spark, docs, none):
     assert kept.columns == docs.columns and kept.filter("doc_id = 6").count() == 0 and kept.filter("doc_id <= 4").count() == 5
 
 
+def test_keep_first_judges_rows(spark):
+    a, b, c, d = ("a b c d e", "f g h i j", "k l m n o", "p q r s t")
+    rows = [(1, a, "x"), (2, a, "y"), (2, b, "y"), (3, c, "z"), (3, c, "a"), (None, a, "n"), (None, d, "n"), (None, d, "n"), (4, "", "e"), (4, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string")
+    kept = jaccard.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (None, d), (4, ""), (4, "")], key=str)
+
+
+def test_dealt_bytes_follow_the_occurrences():
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{random.Random(i).randrange(5_000)}" for _ in range(40)) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    sizes = {}
+    for bits in (4, 12):
+        jaccard.TaskContext, kept = type("One", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 0)})())}), jaccard.TaskContext
+        try:
+            (out,) = jaccard._dealt(4, bits)([batch])
+        finally:
+            jaccard.TaskContext = kept
+        sizes[bits] = sum(len(x) for c in ("at", "counts") for x in out.column(c).to_pylist())
+    assert sizes[12] <= 8 * 300 * 37  # a document and a count for each occurrence at most, however many buckets
+
+
 @pytest.mark.parametrize("trees", [{}, {"tree_sets": 4}, {"tree_sets": 20, "tree_shingles": 900}])
 def test_jaccard_near_copies(spark, trees):
     from test_queries import brute_components
