@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import views as v
 from checks.registry import query
-from readframe.operators import counting, intervals, mapping, matrix, qc, transcripts
+from readframe.operators import counting, intervals, mapping, matrix, qc, seed_index, transcripts
+from readframe.session import scratch_path
 from readframe.sources import annotation
 
 STEP, OFFSET, SIZE = intervals.BIN_STEP, intervals.BIN_OFFSET, intervals.BIN_SIZE
@@ -542,6 +545,33 @@ def kmer_map(spark, sf):
     return mapping.map_reads(table, v.refseq(spark, sf)).drop("seq")
 
 
+@query(
+    "indexed_map",
+    ("v_genome", "v_greads"),
+    f"""WITH d AS (SELECT seq, min(chrom_id) AS chrom_id, count(*) AS copies FROM v_genome WHERE seq IS NOT NULL GROUP BY seq),
+q AS (SELECT DISTINCT seq FROM v_greads),
+b AS (SELECT chrom_id AS name, '' AS read, '+' AS strand, seq AS bases FROM d
+  UNION ALL SELECT -1, seq, '+', seq FROM q UNION ALL SELECT -1, seq, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM q),
+p AS (SELECT name, read, strand, p, last, CASE WHEN contains(kmer, 'N') THEN 'Z' ELSE translate(kmer, 'ACGT', 'GTAC') END AS kmer
+  FROM (SELECT name, read, strand, p, length(bases) - {SEED} AS last, substring(bases, p + 1, {SEED}) AS kmer
+    FROM (SELECT *, unnest(range(0, length(bases) - {SEED} + 1)) AS p FROM b))),
+m AS (SELECT DISTINCT name, read, strand, best[1:{SEED}] AS kmer, CAST(best[{SEED} + 1:] AS BIGINT) AS at
+  FROM (SELECT name, read, strand, p, last, min(concat(kmer, lpad(CAST(p AS VARCHAR), 12, '0'))) OVER
+      (PARTITION BY name, read, strand ORDER BY p ROWS BETWEEN CURRENT ROW AND {seed_index.WINDOW - 1} FOLLOWING) AS best FROM p)
+  WHERE p <= last - {seed_index.WINDOW - 1} AND best NOT LIKE 'Z%'),
+v AS (SELECT a.read AS seq, r.name AS chrom_id, a.strand, r.at - a.at AS diagonal, count(*) AS votes
+  FROM m a JOIN m r USING (kmer) WHERE a.name = -1 AND r.name >= 0 GROUP BY ALL HAVING count(*) >= {seed_index.MIN_VOTES}),
+w AS (SELECT v.*, sum(copies) OVER (PARTITION BY v.seq, votes) AS n_places FROM v JOIN d USING (chrom_id)
+  QUALIFY row_number() OVER (PARTITION BY v.seq ORDER BY votes DESC, chrom_id, strand, diagonal) = 1)
+SELECT a.sample, a.ordinal, w.chrom_id, w.strand, w.diagonal, w.votes, CAST(w.n_places AS BIGINT) AS n_places
+FROM v_greads a LEFT JOIN w ON w.seq = a.seq""",
+)
+def indexed_map(spark, sf):
+    name = f"seeds_{uuid.uuid4().hex}"
+    seed_index.build_index(v.genome(spark, sf), name, scratch_path(spark, "seeds"))
+    return seed_index.map_reads_indexed(v.genome_reads(spark, sf), spark.table(name)).drop("seq")
+
+
 @query(
     "best_hit",
     "v_align",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+# Every character of a text becomes a base: letters and blanks one of four, all else N.
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ "
+BASES = ("ACGT" * 7)[:26] * 2 + "G"
+
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_counts": (
         (),
@@ -28,6 +32,19 @@ FROM customer""",
         (),
         "SELECT doc_id AS chrom_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS seq FROM documents",
     ),
+    "v_genome": (
+        (),
+        f"""SELECT doc_id AS chrom_id, regexp_replace(translate(text, '{LETTERS}', '{BASES}'), '[^ACGT]', 'N', 'g') AS seq
+FROM documents""",
+    ),
+    "v_greads": (
+        ("v_genome",),
+        """SELECT concat('cell', CAST((chrom_id + k) % 8 AS VARCHAR)) AS sample, chrom_id * 10000 + k AS ordinal,
+  CASE WHEN (chrom_id + k) % 2 = 1 THEN reverse(translate(seq, 'ACGT', 'TGCA')) WHEN (chrom_id + k) % 5 = 0
+    THEN concat(substring(seq, 1, 50), 'N', substring(seq, 52, 100)) ELSE seq END AS seq
+FROM (SELECT chrom_id, k, substring(seq, CAST(1 + 100 * k AS INT), 100) AS seq
+      FROM (SELECT chrom_id, seq, unnest(range(0, (length(seq) + 99) // 100)) AS k FROM v_genome) w) t""",
+    ),
     "v_reads1": (
         ("v_refseq",),
         """SELECT concat('cell', CAST(cell AS VARCHAR)) AS sample, ordinal, concat('@r', CAST(ordinal AS VARCHAR)) AS read_id,

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks.oracle import BASES, LETTERS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -45,6 +47,24 @@ def refseq(spark, sf_dir) -> DataFrame:
     )
 
 
+def genome(spark, sf_dir) -> DataFrame:
+    """Sequences of whole texts: letters and blanks are bases, all else is N."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id AS chrom_id", f"regexp_replace(translate(text, '{LETTERS}', '{BASES}'), '[^ACGT]', 'N') AS seq"
+    )
+
+
+def genome_reads(spark, sf_dir) -> DataFrame:
+    """Windows of the sequences, every other one from the other strand and some with an N in the middle."""
+    windows = genome(spark, sf_dir).selectExpr("chrom_id", "posexplode(regexp_extract_all(seq, '(.{1,100})', 1)) AS (k, seq)")
+    return windows.selectExpr(
+        "concat('cell', (chrom_id + k) % 8) AS sample",
+        "chrom_id * 10000 + k AS ordinal",
+        "CASE WHEN (chrom_id + k) % 2 = 1 THEN reverse(translate(seq, 'ACGT', 'TGCA')) WHEN (chrom_id + k) % 5 = 0 "
+        "THEN concat(left(seq, 50), 'N', substring(seq, 52)) ELSE seq END AS seq",
+    )
+
+
 def reads1(spark, sf_dir) -> DataFrame:
     # One regular-expression pass cuts the whole text; windows by position would count from the
     # start of the text each time.
