@@ -79,6 +79,35 @@ def abundance(spark, sf):
     )
 
 
+EM_STEPS = 4
+EM_STEP = """, w{n} AS (SELECT class, id, fragments, reads / length AS weight, sum(reads / length) OVER (PARTITION BY class) AS total FROM pairs JOIN r{m} USING (id)),
+r{n} AS (SELECT id, sum(fragments * weight / total) AS reads FROM w{n} GROUP BY id)"""
+
+
+@query(
+    "shared_abundance",
+    "v_chain",
+    CHAINS
+    + f""", l AS (SELECT chrom_id, strand, chain, CAST(end0 - start0 + 200 - {LENGTH} AS BIGINT) AS length,
+    concat_ws('|', CAST(chrom_id AS VARCHAR), strand, chain) AS id FROM top),
+fits AS (SELECT k.chrom_id, k.strand, k.chain, any_value(k.support) AS support, list_sort(list(l.id)) AS class FROM k JOIN l
+  ON l.chrom_id = k.chrom_id AND l.strand = k.strand AND contains(concat(',', l.chain, ','), concat(',', k.chain, ',')) GROUP BY ALL),
+classes AS (SELECT class, sum(support) AS fragments FROM fits GROUP BY class),
+pairs AS (SELECT class, fragments, id, length FROM (SELECT class, fragments, unnest(class) AS id FROM classes) JOIN l USING (id)),
+r0 AS (SELECT id, CAST(1 AS DOUBLE) AS reads FROM l)"""
+    + "".join(EM_STEP.format(n=n, m=n - 1) for n in range(1, EM_STEPS + 1))
+    + f""", e AS (SELECT l.*, coalesce(reads, 0) AS reads FROM l LEFT JOIN r{EM_STEPS} USING (id))
+SELECT chrom_id, strand, chain, length, round(reads, 6) AS reads, round(reads * 100 / length, 6) AS cov,
+  round(reads * 1e9 / (length * sum(reads) OVER ()), 4) AS fpkm, round(reads / length / sum(reads / length) OVER () * 1e6, 4) AS tpm FROM e""",
+)
+def shared_abundance(spark, sf):
+    table = transcripts.with_exon_length(_candidates(spark, sf)).select("chrom_id", "strand", "chain", "length")
+    observed = transcripts.supported_chains(_chains(spark, sf)).select("chrom_id", "strand", "chain", "support")
+    rated = transcripts.shared_abundance(observed, table, EM_STEPS)
+    rounded = {c: F.round(c, n) for c, n in (("reads", 6), ("cov", 6), ("fpkm", 4), ("tpm", 4))}
+    return rated.withColumns({"chain": text(), **rounded})
+
+
 REFERENCE = """, ref AS (SELECT gene AS tid, chrom_id, strand,
   string_agg(concat(CAST(intron_s AS VARCHAR), '-', CAST(intron_e AS VARCHAR)), ',' ORDER BY intron_s) AS chain,
   (SELECT 0) AS z FROM v_intron GROUP BY gene, chrom_id, strand),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from readframe.functions.text import transcript_id
 from readframe.operators.intervals import BIN_STEP, islands
@@ -12,6 +12,7 @@ from readframe.operators.scale import salted_join
 from readframe.session import settle
 
 MIN_INTRON_SUPPORT = 2
+LISTED = 8  # introns of a chain that names its parts, 35 at most
 
 
 def splice_fragments(splices: DataFrame, keys: Sequence[str] = ("read_id",)) -> DataFrame:
@@ -59,35 +60,71 @@ def supported_chains(chain_table: DataFrame, minimum: int = MIN_INTRON_SUPPORT)
     return chain_table.join(broken, ["chrom_id", "strand", "chain"], "left_anti")
 
 
-def proper_parts(chain: Column) -> Column:
+def _points(chain_table: DataFrame) -> DataFrame:
+    """``(id, i, intron, mark)``: a chain's introns in order, then one row without; ``mark`` is the fingerprint of all before."""
+    ended = F.concat("chain", F.array(F.lit(None).cast(chain_table.schema["chain"].dataType.elementType)))
+    rows = chain_table.select("id", "chrom_id", "strand", F.posexplode(ended).alias("i", "intron"))
+    before = Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("mark", F.coalesce(F.bit_xor(F.xxhash64("intron.s", "intron.e")).over(before), F.lit(0)))
+
+
+def contained(small: DataFrame, large: DataFrame, proper: bool = False) -> DataFrame:
+    """``small_id, large_id``: chains of ``small`` that are a contiguous part of a chain of ``large``.
+
+    Both: ``(id, chrom_id, strand, chain)``. A chain's introns differ, so a part of it is known by its first intron and its
+    length, and its fingerprint is what two running fingerprints differ by. A large chain looks only at the lengths that
+    small chains have at its introns; no chain lists its parts and no two chains of a gene are compared unless their
+    fingerprints agree, which is then verified. With ``proper`` a part is shorter than the whole.
+    """
+    kind = F.struct(F.col("chain")[0].alias("first"), F.size("chain").alias("n")).alias("k")
+    small = small.filter(F.size("chain") > 0).select("id", "chrom_id", "strand", "chain", kind)
+    mark = F.aggregate("chain", F.lit(0).cast("bigint"), lambda x, i: x.bitwiseXOR(F.xxhash64(i["s"], i["e"])))
+    small = small.select(F.col("id").alias("small_id"), "chrom_id", "strand", F.col("chain").alias("small_chain"), "k.first", "k.n", mark.alias("fp"))
+    points = settle(_points(large.filter(F.size("chain") > (1 if proper else 0))))
+    lengths = small.groupBy("chrom_id", "strand", F.col("first").alias("intron")).agg(F.collect_set("n").alias("lengths"))
+    begins = points.join(lengths, ["chrom_id", "strand", "intron"]).select(
+        "id", "chrom_id", "strand", F.col("intron").alias("first"), F.col("i").alias("begin"), F.col("mark").alias("from"), F.explode("lengths").alias("n")
+    )
+    ends = points.select("id", F.col("i").alias("end"), F.col("mark").alias("to"))
+    spans = begins.withColumn("end", F.col("begin") + F.col("n")).join(ends, ["id", "end"])
+    spans = spans.withColumn("fp", F.col("from").bitwiseXOR(F.col("to")))
+    found = spans.join(small, ["chrom_id", "strand", "first", "n", "fp"]).select("small_id", "small_chain", "n", "begin", F.col("id").alias("large_id"))
+    whole = found.join(large.select(F.col("id").alias("large_id"), "chain"), "large_id")
+    same = F.slice("chain", F.col("begin") + 1, F.col("n")) == F.col("small_chain")
+    if proper:
+        same &= F.col("n") < F.size("chain")
+    return whole.filter(same).select("small_id", "large_id").distinct()
+
+
+def with_chain_id(chain_table: DataFrame) -> DataFrame:
+    return chain_table.withColumn("id", F.xxhash64("chrom_id", "strand", "chain"))
+
+
+def listed_parts(chain: Column) -> Column:
     """All contiguous parts of a chain that are shorter than it."""
     n = F.size(chain)
-    lengths = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.flatten(
-        F.transform(
-            lengths,
-            lambda size: F.transform(
-                F.sequence(F.lit(1), n - size + 1), lambda first: F.slice(chain, first, size)
-            ),
-        )
-    )
+    begins = F.when(n > 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    longest = lambda i: F.least(n - i + 1, n - 1)
+    return F.flatten(F.transform(begins, lambda i: F.transform(F.sequence(F.lit(1), longest(i)), lambda size: F.slice(chain, i, size))))
 
 
-def drop_contained(chain_table: DataFrame, keep: Column | None = None) -> DataFrame:
-    """Drop chains that are a contiguous part of another chain.
+def drop_contained(chain_table: DataFrame, keep: Column | None = None, listed: int = LISTED) -> DataFrame:
+    """Drop chains that are a contiguous part of another chain. Rows for which ``keep`` holds stay in any case.
 
-    Each chain names its own parts, and one anti join removes them: no two chains of a gene are
-    compared with each other. Rows for which ``keep`` holds stay in any case.
+    A chain of up to ``listed`` introns names its parts; what is part of a longer one is found by fingerprints. No two
+    chains of a gene are compared with each other.
     """
     keys = ["chrom_id", "strand", "chain"]
     chain_table = settle(chain_table)
-    parts = (
-        chain_table.filter(F.size("chain") > 1)
-        .select("chrom_id", "strand", F.explode(proper_parts(F.col("chain"))).alias("chain"))
-        .distinct()
-        .withColumn("_part", F.lit(True))
-    )
-    joined = chain_table.join(parts, keys, "left")
+    short = chain_table.filter(F.size("chain").between(2, listed))
+    parts = short.select("chrom_id", "strand", F.explode(listed_parts(F.col("chain"))).alias("chain"))
+    long = chain_table.filter(F.size("chain") > listed)
+    if not long.isEmpty():
+        rows = with_chain_id(chain_table.select(*keys))
+        large = with_chain_id(long.select(*keys)).distinct()
+        inside = contained(rows, large.select(*[F.col(c).alias(c) for c in large.columns]), proper=True)
+        parts = parts.unionByName(rows.join(inside.select(F.col("small_id").alias("id")), "id", "left_semi").select(*keys))
+    joined = chain_table.join(parts.distinct().withColumn("_part", F.lit(True)), keys, "left")
     survives = F.col("_part").isNull()
     return joined.filter(survives if keep is None else survives | keep).drop("_part")
 
@@ -149,6 +186,49 @@ def abundance(table: DataFrame, read_length: int = 100) -> DataFrame:
     )
 
 
+def fragment_classes(chain_table: DataFrame, table: DataFrame) -> DataFrame:
+    """``transcripts, fragments``: how many fragments are compatible with just this set of transcripts.
+
+    A fragment is compatible with a transcript whose chain its own is a part of. ``chain_table`` has the distinct
+    chains of the fragments with their ``support``, ``table`` the transcripts with an ``id``. Chains of no transcript
+    are left out. The set is bounded by the isoforms of a gene.
+    """
+    own = with_chain_id(chain_table)
+    found = contained(own, table).withColumnRenamed("small_id", "id").groupBy("id").agg(F.sort_array(F.collect_set("large_id")).alias("transcripts"))
+    return found.join(own.select("id", "support"), "id").groupBy("transcripts").agg(F.sum("support").alias("fragments"))
+
+
+def shared_abundance(chain_table: DataFrame, table: DataFrame, steps: int = 20, read_length: int = 100) -> DataFrame:
+    """A16 where fragments fit several transcripts: ``table`` with ``reads``, ``cov``, ``fpkm`` and ``tpm``.
+
+    Expectation-maximisation over the classes of :func:`fragment_classes`: each step deals a class's fragments to its
+    transcripts in proportion to their reads per base so far, then sums them by transcript. Steps see classes, not
+    fragments; the work of one is a join and two aggregations of (class, transcript) rows. ``table`` has distinct chains and
+    ``length``; a transcript that no fragment fits has 0 reads.
+    """
+    table = settle(with_chain_id(table))
+    classes = fragment_classes(chain_table, table).withColumn("class", F.xxhash64("transcripts"))
+    pairs = settle(
+        classes.select("class", "fragments", F.explode("transcripts").alias("id")).join(table.select("id", "length"), "id")
+    )
+    reads = table.select("id", F.lit(1.0).alias("reads"))
+    for step in range(steps):
+        weighed = pairs.join(reads, "id").withColumn("weight", F.col("reads") / F.col("length"))
+        total = weighed.groupBy("class").agg(F.sum("weight").alias("total"))
+        dealt = weighed.join(total, "class").select("id", (F.col("fragments") * F.col("weight") / F.col("total")).alias("part"))
+        reads = settle(dealt.groupBy("id").agg(F.sum("part").alias("reads")))
+    counted = settle(table.join(reads, "id", "left").withColumn("reads", F.coalesce("reads", F.lit(0.0))).drop("id"))
+    rate = F.col("reads") / F.col("length")
+    sums = counted.agg(F.sum("reads").alias("reads"), F.sum(rate).alias("rates"))
+    all_reads, rates = sums.select("reads").scalar(), sums.select("rates").scalar()
+    return counted.select(
+        "*",
+        (rate * read_length).alias("cov"),
+        (F.col("reads") * 1e9 / (F.col("length") * all_reads)).alias("fpkm"),
+        (rate / rates * 1e6).alias("tpm"),
+    )
+
+
 def merge_with_reference(candidates: DataFrame, reference: DataFrame) -> DataFrame:
     """Candidates of all bins with the reference transcripts.
 
