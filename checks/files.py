@@ -12,7 +12,7 @@ from readframe.operators.matrix import with_kind
 from readframe.plans import jobs
 from readframe.session import scratch_path
 from readframe.sinks import files
-from readframe.sources import annotation, fastq, logs, sam
+from readframe.sources import annotation, blocks, fastq, logs, sam
 from readframe.sources.lines import numbered_lines
 
 
@@ -71,6 +71,35 @@ def split_parts(spark, sf):
     return jobs.read_split(spark, path).select("sample", "value")
 
 
+@query("block_frames", "v_reads1", "SELECT sample, read_id, seq, '+' AS plus, qual FROM v_reads1")
+def block_frames(spark, sf):
+    """Records in gzip files of many members, read back by their index; nothing is shuffled to frame them."""
+    record = F.concat_ws("\n", "read_id", "seq", F.lit("+"), "qual")
+    table = v.reads1(spark, sf).select("sample", "ordinal", record.alias("value"))
+    index = blocks.write_blocks(table, scratch_path(spark, "blocks"), ["ordinal"], part="sample", block_bytes=1 << 16)
+    return blocks.block_records(index, fastq.FIELDS, task_bytes=1 << 20).select(
+        F.col("file").alias("sample"), *fastq.FIELDS
+    )
+
+
+@query(
+    "block_parts",
+    ("v_reads1", "v_reads2"),
+    """WITH r AS (SELECT a.sample, a.ordinal, concat_ws(chr(9), a.read_id, a.seq, '+', a.qual, b.read_id, b.seq,
+    CASE WHEN b.seq IS NOT NULL THEN '+' END, b.qual) AS value FROM v_reads1 a LEFT JOIN v_reads2 b ON a.ordinal = b.ordinal),
+s AS (SELECT *, coalesce(sum(strlen(value) + 1) OVER (PARTITION BY sample ORDER BY ordinal
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bytes_before FROM r)
+SELECT sample, CAST(bytes_before // 65536 AS INT) AS part_no, row_number() OVER (
+    PARTITION BY sample, bytes_before // 65536 ORDER BY ordinal) - 1 AS ordinal, value FROM s""",
+)
+def block_parts(spark, sf):
+    """Parts that tasks name and one index makes visible, read back with their numbers and the order of their lines."""
+    sized = v.pairs(spark, sf).withColumn("row_bytes", F.octet_length(fastq_row()) + 1)
+    path = scratch_path(spark, "parts")
+    files.write_part_blocks(reads.number_parts(sized, limit=65_536), path)
+    return jobs.read_split(spark, path).select("sample", "part_no", "ordinal", "value")
+
+
 def fastq_row():
     from readframe.sources.parts import row_text
 
@@ -228,14 +257,14 @@ def gtf_sink(spark, sf):
 
 @query(
     "fasta_scan",
-    "v_refseq",
-    "SELECT concat('c', CAST(chrom_id AS VARCHAR)) AS name, seq FROM v_refseq WHERE length(seq) > 0",
+    "v_genome",
+    "SELECT concat('c', CAST(chrom_id AS VARCHAR)) AS name, seq FROM v_genome WHERE length(seq) > 0",
 )
 def fasta_scan(spark, sf):
     """Sequences written in lines of 60 bases and read back."""
     wrapped = F.regexp_replace("seq", "(.{60})", "$1\n")
     entry = F.concat(F.lit(">c"), F.col("chrom_id").cast("string"), F.lit(" some text\n"), F.rtrim(wrapped, F.lit("\n")))
-    lines = v.refseq(spark, sf).filter("length(seq) > 0").select(entry.alias("value"))
+    lines = v.genome(spark, sf).filter("length(seq) > 0").select(entry.alias("value"))
     return annotation.read_fasta(spark, _written(spark, lines, "fasta"))
 
 

@@ -497,20 +497,20 @@ def qc_union(spark, sf):
 
 
 MOTIF_VIEW = """WITH j AS (SELECT chrom_id, seq, 100 * k + 10 AS intron_s, least(100 * k + 90, length(seq)) AS intron_e
-  FROM (SELECT chrom_id, seq, unnest(range(0, (length(seq) + 99) // 100)) AS k FROM v_refseq) w WHERE 100 * k + 14 <= length(seq)),
+  FROM (SELECT chrom_id, seq, unnest(range(0, (length(seq) + 99) // 100)) AS k FROM v_genome) w WHERE 100 * k + 14 <= length(seq)),
 m AS (SELECT chrom_id, intron_s, intron_e, concat(substring(seq, intron_s + 1, 2), substring(seq, intron_e - 1, 2)) AS x FROM j)
 """
 
 
 @query(
     "splice_motifs",
-    "v_refseq",
+    "v_genome",
     MOTIF_VIEW
     + """SELECT chrom_id, intron_s, intron_e, CASE WHEN x IN ('GTAG', 'CTAC') THEN 'GT/AG' WHEN x IN ('GCAG', 'CTGC') THEN 'GC/AG'
   WHEN x IN ('ATAC', 'GTAT') THEN 'AT/AC' ELSE 'Non-canonical' END AS motif FROM m""",
 )
 def splice_motifs(spark, sf):
-    sequences = v.refseq(spark, sf)
+    sequences = v.genome(spark, sf)
     junctions = (
         sequences.filter("length(seq) > 0")
         .selectExpr("chrom_id", "length(seq) AS n", "explode(sequence(0, (length(seq) - 1) div 100)) AS k")
@@ -527,14 +527,14 @@ SEED, STRIDE = mapping.SEED, mapping.STEP
 
 @query(
     "kmer_map",
-    ("v_reads1", "v_refseq"),
-    f"""WITH d AS (SELECT seq, min(chrom_id) AS chrom_id, count(*) AS copies FROM v_refseq GROUP BY seq),
+    ("v_reads1", "v_genome"),
+    f"""WITH d AS (SELECT seq, min(chrom_id) AS chrom_id, count(*) AS copies FROM v_genome GROUP BY seq),
 t AS (SELECT chrom_id, p AS pos, substring(seq, p + 1, {SEED}) AS kmer FROM (SELECT chrom_id, seq,
-  unnest(range(0, length(seq) - {SEED} + 1)) AS p FROM d) x),
+  unnest(range(0, length(seq) - {SEED} + 1)) AS p FROM d) x WHERE NOT contains(kmer, 'N')),
 r AS (SELECT DISTINCT seq FROM v_reads1 WHERE length(seq) >= {SEED}),
 b AS (SELECT seq, '+' AS strand, seq AS bases FROM r UNION ALL SELECT seq, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM r),
 s AS (SELECT seq, strand, o, substring(bases, o + 1, {SEED}) AS kmer FROM (SELECT seq, strand, bases,
-  unnest(range(0, length(seq) - {SEED} + 1, {STRIDE})) AS o FROM b) y),
+  unnest(range(0, length(seq) - {SEED} + 1, {STRIDE})) AS o FROM b) y WHERE NOT contains(kmer, 'N')),
 v AS (SELECT seq, chrom_id, strand, pos - o AS diagonal, count(*) AS votes FROM s JOIN t USING (kmer) GROUP BY ALL HAVING count(*) >= 2),
 w AS (SELECT v.*, count(*) OVER (PARTITION BY v.seq, votes) = 1 AND copies = 1 AS alone FROM v JOIN d USING (chrom_id)
   QUALIFY row_number() OVER (PARTITION BY v.seq ORDER BY votes DESC, chrom_id, strand, diagonal) = 1)
@@ -542,7 +542,7 @@ SELECT a.sample, a.ordinal, w.chrom_id, w.strand, w.diagonal, w.votes, w.alone F
 )
 def kmer_map(spark, sf):
     table = v.reads1(spark, sf).select("sample", "ordinal", "seq")
-    return mapping.map_reads(table, v.refseq(spark, sf)).drop("seq")
+    return mapping.map_reads(table, v.genome(spark, sf)).drop("seq")
 
 
 @query(

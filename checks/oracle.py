@@ -5,6 +5,8 @@ from __future__ import annotations
 # Every character of a text becomes a base: letters and blanks one of four, all else N.
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ "
 BASES = ("ACGT" * 7)[:26] * 2 + "G"
+# The quality of a base goes by its letter.
+CALLED, QUALITIES = "ACGTN", "I5#?!"
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_counts": (
@@ -28,10 +30,6 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
        WHEN 2 THEN 10000000 + c_custkey * 7919 ELSE 100000000 + c_custkey * 1047 END AS VARCHAR)) AS accession
 FROM customer""",
     ),
-    "v_refseq": (
-        (),
-        "SELECT doc_id AS chrom_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS seq FROM documents",
-    ),
     "v_genome": (
         (),
         f"""SELECT doc_id AS chrom_id, regexp_replace(translate(text, '{LETTERS}', '{BASES}'), '[^ACGT]', 'N', 'g') AS seq
@@ -46,11 +44,11 @@ FROM (SELECT chrom_id, k, substring(seq, CAST(1 + 100 * k AS INT), 100) AS seq
       FROM (SELECT chrom_id, seq, unnest(range(0, (length(seq) + 99) // 100)) AS k FROM v_genome) w) t""",
     ),
     "v_reads1": (
-        ("v_refseq",),
-        """SELECT concat('cell', CAST(cell AS VARCHAR)) AS sample, ordinal, concat('@r', CAST(ordinal AS VARCHAR)) AS read_id,
-  concat('k', CAST(ordinal % 300 AS VARCHAR)) AS dup_key, seq, translate(seq, 'ACGT', 'I5#?') AS qual
+        ("v_genome",),
+        f"""SELECT concat('cell', CAST(cell AS VARCHAR)) AS sample, ordinal, concat('@r', CAST(ordinal AS VARCHAR)) AS read_id,
+  concat('k', CAST(ordinal % 300 AS VARCHAR)) AS dup_key, seq, translate(seq, '{CALLED}', '{QUALITIES}') AS qual
 FROM (SELECT chrom_id * 10000 + k AS ordinal, (chrom_id + k) % 8 AS cell, substring(seq, CAST(1 + 100 * k AS INT), 100) AS seq
-      FROM (SELECT chrom_id, seq, unnest(range(0, (length(seq) + 99) // 100)) AS k FROM v_refseq) w) t""",
+      FROM (SELECT chrom_id, seq, unnest(range(0, (length(seq) + 99) // 100)) AS k FROM v_genome) w) t""",
     ),
     "v_reads2": (
         ("v_reads1",),
@@ -68,7 +66,7 @@ FROM v_reads1 a LEFT JOIN v_reads2 b ON a.ordinal = b.ordinal""",
     ),
     "v_adapter": (
         ("v_reads1",),
-        """SELECT sample, ordinal, read_id, seq, translate(seq, 'ACGT', 'I5#?') AS qual FROM (
+        f"""SELECT sample, ordinal, read_id, seq, translate(seq, '{CALLED}', '{QUALITIES}') AS qual FROM (
   SELECT sample, ordinal, read_id, concat(seq, CASE length(seq) % 4
     WHEN 0 THEN 'CTGTCTCTTATACACATCTGACGCTGCCGACGA' WHEN 1 THEN 'CTGTCTCTTATACACATCTG'
     WHEN 2 THEN 'CTGACTCTTATACACATCTGACGCTGCCGA' ELSE 'CTGT' END) AS seq FROM v_reads1) t""",

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.oracle import BASES, LETTERS
+from checks.oracle import BASES, CALLED, LETTERS, QUALITIES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +41,6 @@ def accessions(spark, sf_dir) -> DataFrame:
     )
 
 
-def refseq(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(
-        "doc_id AS chrom_id", "regexp_replace(upper(text), '[^ACGT]', '') AS seq"
-    )
-
-
 def genome(spark, sf_dir) -> DataFrame:
     """Sequences of whole texts: letters and blanks are bases, all else is N."""
     return table(spark, sf_dir, "documents").selectExpr(
@@ -69,7 +63,7 @@ def reads1(spark, sf_dir) -> DataFrame:
     # One regular-expression pass cuts the whole text; windows by position would count from the
     # start of the text each time.
     windows = (
-        refseq(spark, sf_dir)
+        genome(spark, sf_dir)
         .selectExpr("chrom_id", "posexplode(regexp_extract_all(seq, '(.{1,100})', 1)) AS (k, seq)")
         .selectExpr("chrom_id * 10000 + k AS ordinal", "(chrom_id + k) % 8 AS cell", "seq")
     )
@@ -79,7 +73,7 @@ def reads1(spark, sf_dir) -> DataFrame:
         "concat('@r', ordinal) AS read_id",
         "concat('k', ordinal % 300) AS dup_key",
         "seq",
-        "translate(seq, 'ACGT', 'I5#?') AS qual",
+        f"translate(seq, '{CALLED}', '{QUALITIES}') AS qual",
     )
 
 
@@ -131,7 +125,7 @@ def adapter_reads(spark, sf_dir) -> DataFrame:
     return (
         reads1(spark, sf_dir)
         .selectExpr("sample", "ordinal", "read_id", f"concat(seq, {tail}) AS seq")
-        .withColumn("qual", F.translate("seq", "ACGT", "I5#?"))
+        .withColumn("qual", F.translate("seq", CALLED, QUALITIES))
     )
 
 

@@ -34,14 +34,23 @@ from readframe.sources.parts import as_reads, kept_rows, parse_rows, read_part_r
 
 
 def split(
-    spark: SparkSession, manifest: str, reads: str, out: str, limit: int = PART_BYTES, mode: str = "errorifexists"
+    spark: SparkSession,
+    manifest: str,
+    reads: str,
+    out: str,
+    limit: int = PART_BYTES,
+    mode: str = "errorifexists",
+    form: str = "files",
 ) -> DataFrame:
     """Manifest and FASTQ files to numbered parts, their report, and counts of partial records.
 
     ``<out>/parts`` holds the files that ``<out>/report`` names. Mate 1 leads: a record stays where mate 2 is missing
     or cut, with blanks in its place, and is counted in ``<out>/partial`` as ``(sample, cut_mate1, short_mate2)``. A
     record whose mate 1 is cut is only counted. Bad manifest lines and missing files stop the job.
+
+    ``form="blocks"`` writes the parts as block files with an index, all or nothing; ``read_split`` reads both forms.
     """
+    write = {"files": files.write_parts, "blocks": files.write_part_blocks}[form]
     listed = require_input(read_manifest(spark, manifest), "manifest")
     found = settle(read_mates(spark, reads, manifest_files(listed)))
     counted = found.filter("not complete").groupBy("sample").agg(
@@ -51,7 +60,7 @@ def split(
     records = found.filter("whole").drop("whole")
     sized = records.withColumn("row_bytes", F.octet_length(row_text()) + 1)
     numbered = number_parts(sized, limit=limit)
-    files.write_parts(numbered, f"{out}/parts", mode)
+    write(numbered, f"{out}/parts", mode)
     files.write_part_report(numbered, f"{out}/report", mode)
     return numbered
 
