@@ -25,6 +25,7 @@ HEADLINE = (
     "repair_pairs",
     "part_numbers",
     "record_frames",
+    "block_frames",
     "trim_sliding",
     "trim_adapter",
     "standard_cleaning",
@@ -38,7 +39,6 @@ HEADLINE = (
     "base_classes",
     "known_splices",
     "sam_scan",
-    "kmer_map",
     "maximal_chains",
     "merged_transcripts",
     "accuracy_levels",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import views as v
 from checks.assembly import CHAINS, _candidates
-from checks.registry import query
+from checks.registry import SQL, query
 from readframe.operators import reads, transcripts, trim
 from readframe.operators.matrix import with_kind
 from readframe.plans import jobs
@@ -505,14 +505,17 @@ def candidate_support(spark, sf):
     return table.select("chrom_id", "strand", text.alias("chain"), "support")
 
 
-@query("accuracy_sink", ("v_chain", "v_intron"), "SELECT CAST(6 AS BIGINT) AS n_levels")
+@query("accuracy_sink", (), SQL["accuracy_levels"])
 def accuracy_sink(spark, sf):
-    """The written accuracy table has one row per level."""
+    """The accuracy table as written and read back: every level with its figures."""
     from readframe.operators.compare import accuracy
 
     path = scratch_path(spark, "accuracy")
-    files.write_accuracy(accuracy(_candidates(spark, sf), v.transcripts(spark, sf)), path)
-    return spark.read.csv(path, header=True).agg(F.count_distinct("level").alias("n_levels"))
+    table = accuracy(_candidates(spark, sf), v.transcripts(spark, sf))
+    files.write_accuracy(table, path)
+    return spark.read.schema(table.schema).csv(path, header=True).withColumns(
+        {"sensitivity": F.round("sensitivity", 6), "precision": F.round("precision", 6)}
+    )
 
 
 @query(

@@ -211,8 +211,7 @@ def pair_detect(spark, sf):
     "SELECT sample, ordinal, value FROM v_rows QUALIFY row_number() OVER (PARTITION BY sample ORDER BY ordinal) = 1",
 )
 def first_row_probe(spark, sf):
-    first = v.rows(spark, sf).groupBy("sample").agg(F.min(F.struct("ordinal", "value")).alias("f"))
-    return first.select("sample", "f.*")
+    return pt.first_lines(v.rows(spark, sf), ["sample"])
 
 
 @query(
