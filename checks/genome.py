@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import views as v
 from checks.registry import query
-from readframe.operators import counting, intervals, mapping, matrix, qc, seed_index, transcripts
+from readframe.operators import counting, hooks, intervals, mapping, matrix, qc, seed_index, transcripts
 from readframe.session import scratch_path
 from readframe.sources import annotation
 
@@ -133,6 +133,44 @@ def bins_with_reference(spark, sf):
     )
 
 
+@query(
+    "bin_reference",
+    ("v_align", "v_exon", "v_chrom"),
+    BINS_SQL
+    + f""", k AS (SELECT e.chrom_id, e.gene, e.start0, e.end0 FROM v_exon e JOIN v_chrom c USING (chrom_id)
+  WHERE regexp_matches(chrom, '^chr[0-9XY]+')),
+x AS (SELECT *, unnest(range(greatest(start0 - {OFFSET}, 0) // {STEP}, end0 // {STEP} + 1)) AS bin FROM k),
+n AS (SELECT chrom_id, bin, count(*) AS n_exons, count(DISTINCT gene) AS n_genes FROM x GROUP BY ALL),
+h AS (SELECT b.chrom_id, b.bin, b.sample, b.read_id, b.start0, b.end0, b.mate,
+  EXISTS (SELECT 1 FROM x WHERE x.chrom_id = b.chrom_id AND x.bin = b.bin AND x.start0 < b.end0 AND b.start0 < x.end0) AS on_exon
+  FROM b)
+SELECT h.chrom_id, h.bin, count(*) AS n_reads, count(*) FILTER (on_exon) AS on_exons, max(n_exons) AS n_exons, max(n_genes) AS n_genes
+FROM h LEFT JOIN n USING (chrom_id, bin) GROUP BY ALL""",
+)
+def bin_reference(spark, sf):
+    """A user function over each bin's reads and the exons of that bin; chromosomes outside the reference have none."""
+    import numpy as np
+    import pyarrow as pa
+
+    def compare(key, hits, known):
+        lows, highs = (np.sort(known[c].to_numpy()) for c in ("start0", "end0"))
+        starts, ends = (hits[c].to_numpy() for c in ("start0", "end0"))
+        # Exons that began before a read's end, less those that ended at or before its start.
+        depth = np.searchsorted(lows, ends, "left") - np.searchsorted(highs, starts, "right")
+        genes = len(set(known["gene"].to_pylist()))
+        row = [*key[:2], len(starts), int((depth > 0).sum()), len(lows) or None, genes or None]
+        return pa.Table.from_arrays([pa.array([x], pa.int64()) for x in row], names=columns)
+
+    columns = ["chrom_id", "bin", "n_reads", "on_exons", "n_exons", "n_genes"]
+    chroms = intervals.main_chromosomes(v.chromosomes(spark, sf)).select("chrom_id")
+    exons = v.exons(spark, sf).join(F.broadcast(chroms), "chrom_id").select("chrom_id", "gene", "start0", "end0")
+    binned = intervals.bin_reads(v.align(spark, sf)).select("chrom_id", "bin", "sample", "read_id", "start0", "end0")
+    per_piece = hooks.map_bins_with(binned, exons, compare, ", ".join(f"{c} bigint" for c in columns))
+    return per_piece.groupBy("chrom_id", "bin").agg(
+        *[F.sum(c).alias(c) for c in ("n_reads", "on_exons")], *[F.max(c).alias(c) for c in ("n_exons", "n_genes")]
+    )
+
+
 OVERLAP = "a.chrom_id = e.chrom_id AND a.start0 < e.end0 AND e.start0 < a.end0"
 
 

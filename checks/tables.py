@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import views as v
 from checks.registry import query
 from readframe.functions.text import part_key
-from readframe.operators import hooks, matrix, reads, trim
+from readframe.operators import edit_tail, hooks, matrix, reads, trim
 from readframe.sources import manifest as mf
 from readframe.sources import parts as pt
 
@@ -430,6 +430,26 @@ def adapter_tail_strict(spark, sf):
     return v.adapter_reads(spark, sf).select("sample", "ordinal", F.substr("seq", F.lit(1), tail("seq")).alias("seq"))
 
 
+EDITS_SQL = f"""WITH o AS (SELECT sample, ordinal, seq, unnest(range(0, length(seq))) AS off FROM v_adapter),
+s AS (SELECT ordinal, off, least(33, length(seq) - off) AS n, substring(seq, CAST(off + 1 AS INT), 37) AS rest,
+  length(seq) - off < 37 AS short FROM o),
+d AS (SELECT ordinal, off, n, least(list_min(list_transform(range(29, 38), lambda i: levenshtein('{v.ADAPTER}', substring(rest, 1, i)))),
+  CASE WHEN short THEN list_min(list_transform(range(greatest(length(rest) - 4, 1), least(length(rest) + 4, 33) + 1),
+    lambda i: levenshtein(substring('{v.ADAPTER}', 1, i), rest))) ELSE 99 END) AS dist FROM s WHERE n >= 3),
+g AS (SELECT ordinal, off, n - 2 * dist AS score FROM d WHERE dist <= floor(0.15 * n + 1e-9)),
+f AS (SELECT ordinal, off FROM (SELECT *, min(off) OVER (PARTITION BY ordinal) AS head FROM g) h WHERE off <= head + 4
+  QUALIFY row_number() OVER (PARTITION BY ordinal ORDER BY score DESC, off) = 1)
+SELECT v.sample, v.ordinal, substring(v.seq, 1, CAST(coalesce(off, length(v.seq)) AS INT)) AS seq
+FROM v_adapter v LEFT JOIN f ON f.ordinal = v.ordinal"""
+
+
+@query("adapter_tail_edits", "v_adapter", EDITS_SQL)
+def adapter_tail_edits(spark, sf):
+    """Ends of the adapter with insertions and deletions: views.adapter_reads drops two of its letters in a quarter."""
+    tail = edit_tail.edit_tail_udf(v.ADAPTER, 0.15, 3)
+    return v.adapter_reads(spark, sf).select("sample", "ordinal", F.substr("seq", F.lit(1), tail("seq")).alias("seq"))
+
+
 @query(
     "low_complexity",
     "v_reads1",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -75,3 +76,53 @@ def map_bins(
         binned = binned.withColumn("slice", F.expr(f"start0 div {slice_bases}"))
         keys.append("slice")
     return map_parts(binned, fn, schema, keys)
+
+
+PIECE_ROWS = 1_000_000
+
+
+def map_bins_with(
+    binned: DataFrame,
+    exons: DataFrame,
+    fn: Callable[[tuple, pa.Table, pa.Table], pa.Table],
+    schema: StructType | str,
+    minimum: int = 0,
+    piece_rows: int = PIECE_ROWS,
+    tiling: bool = True,
+) -> DataFrame:
+    """U3 with P6: ``fn(key, reads, exons)`` sees a bin's reads and the reference exons in that bin, as Arrow tables.
+
+    ``key`` is ``(chrom_id, bin, piece)``. Bins are counted first; one of more than ``piece_rows`` reads is dealt, by a hash
+    of the read's row, to several pieces, each with all exons of the bin, so no call holds an unbounded bin. A bin
+    without reference gets an exon table without rows; a bin without reads, or with fewer than ``minimum``, gets no call.
+    Rows without a chromosome belong to no bin. Both sides meet in one shuffle of the reads by bin and piece.
+    """
+    from readframe.operators.intervals import bins_of, full_bins, reads_per_bin
+    from readframe.operators.scale import dimension_join, salt_of
+    from readframe.session import settle
+
+    keys = ["chrom_id", "bin"]
+    pieces = settle(
+        full_bins(reads_per_bin(binned), minimum).select(
+            *keys, F.expr(f"cast((n_reads + {piece_rows - 1}) div {piece_rows} as int) as _pieces")
+        )
+    )
+    spread = binned.withColumn("_hash", salt_of(binned, 2**31 - 1))
+    reads = (
+        dimension_join(spread, pieces, keys)
+        .withColumn("piece", F.col("_hash") % F.col("_pieces"))
+        .select(*binned.columns, "piece")
+    )
+    reference = (
+        exons.withColumn("bin", F.explode(bins_of(tiling=tiling)))
+        .join(pieces, keys)
+        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
+        .select(*exons.columns, "bin", "piece")
+    )
+    keys = [*keys, "piece"]
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        return fn(tuple(part.as_py() for part in key), left, right)
+
+    run.__annotations__ = {"key": tuple, "left": pa.Table, "right": pa.Table, "return": pa.Table}
+    return reads.groupBy(*keys).cogroup(reference.groupBy(*keys)).applyInArrow(run, schema)

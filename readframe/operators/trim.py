@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readframe.functions.text import PHRED_OFFSET, qualities_below
+from readframe.operators.edit_tail import edit_tail_udf
 
 # Fixed values of the cleaning scripts.
 CLIP_SEED, CLIP_SEED_MISMATCHES, CLIP_SCORE = 16, 2, 10
@@ -259,11 +260,14 @@ def adapter_clip(adapters: Sequence[str]) -> Step:
     return Step("adapter_clip", lambda seq, qual: (F.lit(0), clip(seq, qual)))
 
 
-def adapter_tail(adapter: str = "", error_rate: float = 0.15, min_overlap: int = 3) -> Step:
-    """T10; without an adapter nothing is cut."""
+def adapter_tail(
+    adapter: str = "", error_rate: float = 0.15, min_overlap: int = 3, edits: bool = False
+) -> Step:
+    """T10; without an adapter nothing is cut. With ``edits`` errors are insertions and deletions too."""
     if not adapter:
         return Step("adapter_tail")
-    tail = tail_position_udf(adapter, error_rate, min_overlap)
+    make = edit_tail_udf if edits else tail_position_udf
+    tail = make(adapter, error_rate, min_overlap)
     return Step("adapter_tail", lambda seq, qual: (F.lit(0), tail(seq)))
 
 
