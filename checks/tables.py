@@ -430,12 +430,18 @@ def adapter_tail_strict(spark, sf):
     return v.adapter_reads(spark, sf).select("sample", "ordinal", F.substr("seq", F.lit(1), tail("seq")).alias("seq"))
 
 
+# Of e + 1 disjoint pieces of one text, e edits leave a piece whole, so offsets without such a piece need no distance.
+BLOCKS = [v.ADAPTER[i : i + 7] for i in range(0, len(v.ADAPTER), 7)]
 EDITS_SQL = f"""WITH o AS (SELECT sample, ordinal, seq, unnest(range(0, length(seq))) AS off FROM v_adapter),
 s AS (SELECT ordinal, off, least(33, length(seq) - off) AS n, substring(seq, CAST(off + 1 AS INT), 37) AS rest,
   length(seq) - off < 37 AS short FROM o),
+p AS (SELECT *, CAST(floor(0.15 * n + 1e-9) AS INT) + 1 AS cuts FROM s WHERE n >= 3),
+c AS (SELECT * FROM p WHERE len(list_filter({BLOCKS}, lambda b: contains(rest, b))) > 0
+  OR short AND len(list_filter(range(0, cuts), lambda i: contains('{v.ADAPTER}', substring(rest,
+    CAST(1 + i * length(rest) // cuts AS INT), CAST((i + 1) * length(rest) // cuts - i * length(rest) // cuts AS INT))))) > 0),
 d AS (SELECT ordinal, off, n, least(list_min(list_transform(range(29, 38), lambda i: levenshtein('{v.ADAPTER}', substring(rest, 1, i)))),
   CASE WHEN short THEN list_min(list_transform(range(greatest(length(rest) - 4, 1), least(length(rest) + 4, 33) + 1),
-    lambda i: levenshtein(substring('{v.ADAPTER}', 1, i), rest))) ELSE 99 END) AS dist FROM s WHERE n >= 3),
+    lambda i: levenshtein(substring('{v.ADAPTER}', 1, i), rest))) ELSE 99 END) AS dist FROM c),
 g AS (SELECT ordinal, off, n - 2 * dist AS score FROM d WHERE dist <= floor(0.15 * n + 1e-9)),
 f AS (SELECT ordinal, off FROM (SELECT *, min(off) OVER (PARTITION BY ordinal) AS head FROM g) h WHERE off <= head + 4
   QUALIFY row_number() OVER (PARTITION BY ordinal ORDER BY score DESC, off) = 1)
