@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import views as v
 from checks.registry import query
-from readframe.operators import counting, hooks, intervals, mapping, matrix, qc, seed_index, transcripts
+from readframe.operators import counting, hooks, intervals, mapping, matrix, qc, seed_index, sweep, transcripts
 from readframe.session import scratch_path
 from readframe.sources import annotation
 
@@ -185,6 +185,32 @@ def overlap_hits(spark, sf):
     )
 
 
+@query(
+    "overlap_sweep",
+    ("v_align", "v_exon"),
+    f"SELECT a.read_id, a.sample, a.start0, e.gene, e.exon_no FROM v_align a JOIN v_exon e ON {OVERLAP}",
+)
+def overlap_sweep(spark, sf):
+    """The same pairs by a sweep over stretches instead of genome cells."""
+    hits = v.align(spark, sf).select("read_id", "sample", "chrom_id", "start0", "end0")
+    return sweep.sweep_join(hits, v.exons(spark, sf).drop("strand")).select(
+        "read_id", "sample", "start0", "gene", "exon_no"
+    )
+
+
+SPANS_SQL = """WITH t AS (SELECT gene, chrom_id, min(start0) AS start0, max(end0) AS end0 FROM v_exon GROUP BY ALL)
+SELECT a.gene, CAST(count(*) AS BIGINT) AS n_genes, CAST(sum(least(a.end0, b.end0) - greatest(a.start0, b.start0)) AS BIGINT) AS bases
+FROM t a JOIN t b ON a.chrom_id = b.chrom_id AND a.start0 < b.end0 AND b.start0 < a.end0 GROUP BY a.gene"""
+
+
+@query("span_sweep", "v_exon", SPANS_SQL)
+def span_sweep(spark, sf):
+    """Genes whose whole spans overlap, each with itself too."""
+    spans = v.exons(spark, sf).groupBy("gene", "chrom_id").agg(F.min("start0").alias("start0"), F.max("end0").alias("end0"))
+    pairs = sweep.sweep_join(spans, spans.withColumnRenamed("gene", "other"))
+    return pairs.groupBy("gene").agg(F.count("*").alias("n_genes"), F.sum(intervals.overlap_bases()).alias("bases"))
+
+
 @query(
     "overlap_bases",
     ("v_align", "v_exon"),
