@@ -472,6 +472,28 @@ def quantify_job(spark, sf):
     return counts.filter(wanted).select("sample", "feature", "cnt")
 
 
+@query(
+    "quantify_introns",
+    ("v_splice", "v_intron"),
+    """WITH k AS (SELECT DISTINCT chrom_id, intron_s, intron_e FROM v_intron)
+SELECT sample, 'QC_STAR_Number_of_splices:_Total' AS feature, count(*) AS cnt FROM v_splice GROUP BY sample
+UNION ALL SELECT sample, 'QC_STAR_Number_of_splices:_Annotated_(sjdb)', count(k.chrom_id)
+FROM v_splice s LEFT JOIN k ON k.chrom_id = s.chrom_id AND k.intron_s = s.intron_s AND k.intron_e = s.intron_e GROUP BY sample""",
+)
+def quantify_introns(spark, sf):
+    """The job knows the introns of the exons that it is given."""
+    edges = F.col("intron_s"), F.col("intron_e")
+    piece = lambda s, e: F.struct(s.cast("bigint").alias("s"), e.cast("bigint").alias("e"))
+    hits = v.splices(spark, sf).select(
+        "sample", "read_id", "chrom_id", "strand", F.lit(1).alias("mate"), F.lit(60).alias("mapq"),
+        (edges[0] - 25).alias("start0"), (edges[1] + 20).alias("end0"),
+        F.array(piece(edges[0] - 25, edges[0]), piece(edges[1], edges[1] + 20)).alias("blocks"),
+        F.array(piece(*edges)).alias("introns"),
+    )
+    counts = jobs.quantify(hits, v.exons(spark, sf))
+    return counts.filter(F.col("feature").startswith("QC_STAR_Number_of_splices")).select("sample", "feature", "cnt")
+
+
 @query(
     "accuracy_self",
     ("v_chain", "v_intron"),

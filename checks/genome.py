@@ -645,3 +645,15 @@ QUALIFY row_number() OVER (PARTITION BY sample, read_id ORDER BY mapq DESC, chro
 def best_hit(spark, sf):
     hits = v.align(spark, sf).select("sample", "read_id", "chrom_id", "start0", "end0", "mapq")
     return mapping.best_hit(hits, ["sample", "read_id"], ["mapq"], ["chrom_id", "start0", "end0"])
+
+
+@query(
+    "qc_totals",
+    "v_counts",
+    """WITH q AS (SELECT string_split(feature, '_')[2] AS tool, string_split(feature, '_')[3] AS figure, cnt FROM v_counts
+  WHERE starts_with(feature, 'QC_'))
+SELECT tool, figure, CAST(grouping_id(tool, figure) AS BIGINT) AS level, count(*) AS n_records, CAST(sum(cnt) AS BIGINT) AS cnt,
+  min(cnt) AS least, max(cnt) AS most FROM q GROUP BY ROLLUP (tool, figure)""",
+)
+def qc_totals(spark, sf):
+    return qc.qc_totals(v.counts(spark, sf))

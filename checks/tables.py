@@ -456,6 +456,27 @@ def adapter_tail_edits(spark, sf):
     return v.adapter_reads(spark, sf).select("sample", "ordinal", F.substr("seq", F.lit(1), tail("seq")).alias("seq"))
 
 
+LOW = "'!\"#$%&''()*+,-./01234'"
+
+
+@query(
+    "third_cleaning",
+    "v_reads1",
+    f"""WITH t AS (SELECT sample, ordinal, substring(seq, 1, length(rtrim(qual, {LOW}))) AS seq, rtrim(qual, {LOW}) AS qual FROM v_reads1),
+o AS (SELECT ordinal, seq, unnest(range(0, length(seq))) AS off FROM t),
+s AS (SELECT *, least({len(trim.STANDARD_ADAPTER)}, length(seq) - off) AS n FROM o),
+w AS (SELECT *, len(list_filter(range(1, n + 1),
+  lambda i: substring('{trim.STANDARD_ADAPTER}', i, 1) <> substring(seq, off + i, 1))) AS wrong FROM s),
+g AS (SELECT ordinal, min(off) AS cut FROM w WHERE wrong <= floor(0.1 * n + 1e-9) GROUP BY ALL)
+SELECT t.sample, t.ordinal, substring(t.seq, 1, coalesce(cut, length(t.seq))) AS seq,
+  substring(t.qual, 1, coalesce(cut, length(t.seq))) AS qual
+FROM t LEFT JOIN g ON g.ordinal = t.ordinal WHERE coalesce(cut, length(t.seq)) >= 20""",
+)
+def third_cleaning(spark, sf):
+    """The third tool's own steps, on single reads."""
+    return _trimmed(spark, sf, *trim.galore_steps())
+
+
 @query(
     "low_complexity",
     "v_reads1",

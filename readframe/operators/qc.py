@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from readframe.operators.intervals import depth_segments, overlap_bases, overlap_join
 from readframe.operators.scale import dimension_join
@@ -40,6 +40,22 @@ def junction_counts(splices: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return splices.groupBy(*keys, "chrom_id", "intron_s", "intron_e").agg(F.count("*").alias("n"))
 
 
+def known_introns(exons: DataFrame) -> DataFrame:
+    """Introns of an annotation, ``(chrom_id, intron_s, intron_e)``: the gaps between the exons of one transcript, or of one
+    gene where no transcript is named. Exons that overlap or touch leave no gap; exons of no gene have none."""
+    owner = F.coalesce(*[F.col(c) for c in ("transcript", "gene") if c in exons.columns])
+    keys = [c for c in ("chrom_id", "strand") if c in exons.columns]
+    before = Window.partitionBy(*keys, "_owner").orderBy("start0", "end0").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        exons.withColumn("_owner", owner)
+        .filter("_owner is not null and start0 < end0")
+        .withColumn("intron_s", F.max("end0").over(before))
+        .filter("intron_s < start0")
+        .select("chrom_id", "intron_s", F.col("start0").alias("intron_e"))
+        .distinct()
+    )
+
+
 def annotated_junctions(junctions: DataFrame, known: DataFrame) -> DataFrame:
     """Adds ``annotated``. ``known`` holds introns as ``(chrom_id, intron_s, intron_e)``."""
     marks = known.select("chrom_id", "intron_s", "intron_e").distinct().withColumn("_known", F.lit(True))
@@ -275,3 +291,21 @@ def base_class_records(classes: DataFrame) -> DataFrame:
     names = [c for c in classes.columns if c != "sample"]
     entries = F.array(*[F.struct(F.lit(f"QC_picard_{n}").alias("feature"), F.col(n).alias("cnt")) for n in names])
     return classes.select("sample", F.lit("qc").alias("kind"), F.inline(entries))
+
+
+def qc_totals(counts: DataFrame) -> DataFrame:
+    """QC records ``QC_<tool>_<figure>`` summed over samples per figure (``level`` 0), per tool (1) and in all (3).
+
+    All levels come from one pass; records are merged on the map side, so what is shuffled is a row per figure and task.
+    A record without the second underscore has a null figure; ``level`` tells it from a sum over figures.
+    """
+    named = counts.filter(F.col("feature").startswith("QC_")).withColumn("_part", F.split("feature", "_", 3))
+    parts = [F.try_element_at("_part", F.lit(place)) for place in (2, 3)]
+    return (
+        named.select(parts[0].alias("tool"), parts[1].alias("figure"), "cnt")
+        .rollup("tool", "figure")
+        .agg(
+            F.grouping_id().cast("bigint").alias("level"), F.count("*").alias("n_records"), F.sum("cnt").alias("cnt"),
+            F.min("cnt").alias("least"), F.max("cnt").alias("most"),
+        )
+    )

@@ -115,8 +115,8 @@ def quantify(
     """Alignments to ``(sample, kind, feature, cnt)``: genes, counter QC, aligner QC, base classes.
 
     Aligner and counter both STAR means direct counting, and then no base-class figures. The ten figures of the STAR
-    log need ``known`` introns (else those of the exons are unknown and none is annotated) and, for the kinds of
-    splices, ``sequences``; the HISAT figures need nothing more. The base-class report has all ten figures when
+    log take ``known`` introns, or else those between the exons of the annotation, and need ``sequences`` for the kinds of
+    splices; the HISAT figures need nothing more. The base-class report has all ten figures when
     ``reads`` (for ``pf_bases``), ``ribosomal`` intervals and ``ignored`` chromosomes are given; without them those
     figures are 0 or left out.
     """
@@ -135,7 +135,7 @@ def quantify(
     spliced = alignments.filter("chrom_id is not null")
     spliced = spliced.select("sample", "chrom_id", F.inline("introns").alias("intron_s", "intron_e"))
     if mapper == "star":
-        introns = known if known is not None else spliced.limit(0).select("chrom_id", "intron_s", "intron_e")
+        introns = known if known is not None else qc.known_introns(exons)
         parts.append(qc.aligner_summary(alignments, spliced, introns, sequences))
     elif mapper.startswith("hisat"):
         parts.append(qc.pair_records(qc.pair_summary(alignments)))

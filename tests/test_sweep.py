@@ -75,3 +75,30 @@ def test_far_positions_and_empty_tables(spark):
     got = sw.sweep_join(a, b, stretch_rows=1)
     assert sorted((r.read_id, r.gene) for r in got.collect()) == [(1, "G"), (1, "H"), (2, "H")]
     assert sw.sweep_join(a.limit(0), b).count() == 0 and sw.sweep_join(a, b.limit(0)).count() == 0
+
+
+def test_bins_with_reference_in_pieces(spark):
+    import pyarrow as pa
+
+    from readframe.operators.hooks import map_bins_with
+
+    reads = spark.createDataFrame(
+        [(k, 1, 10 * k, 10 * k + 5, 0) for k in range(40)] + [(90, 2, 1, 2, 0), (91, 3, 1, 2, 7), (92, None, 1, 2, 0)],
+        "read_id int, chrom_id int, start0 bigint, end0 bigint, bin bigint",
+    )
+    exons = spark.createDataFrame(
+        [("A", 1, 0, 9), ("B", 1, 5, 9), ("far", 1, 10_000_000, 10_000_009), ("C", 4, 1, 2)],
+        "gene string, chrom_id int, start0 bigint, end0 bigint",
+    )
+
+    def seen(key, hits, known):
+        row = [*key, len(hits), len(known)]
+        return pa.Table.from_arrays([pa.array([x], pa.int64()) for x in row], names=["c", "b", "p", "n", "m"])
+
+    schema = "c bigint, b bigint, p bigint, n bigint, m bigint"
+    got = [tuple(r) for r in map_bins_with(reads, exons, seen, schema, piece_rows=10).collect()]
+    assert sum(r[3] for r in got if r[0] == 1) == 40 and {r[4] for r in got if r[0] == 1} == {2}
+    assert len([r for r in got if r[0] == 1]) > 1
+    assert {r for r in got if r[0] != 1} == {(2, 0, 0, 1, 0), (3, 7, 0, 1, 0)}
+    full = map_bins_with(reads, exons, seen, schema, minimum=2).collect()
+    assert [tuple(r) for r in full] == [(1, 0, 0, 40, 2)]
