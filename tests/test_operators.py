@@ -115,6 +115,24 @@ def test_skewed_joins(spark):
         assert joined.orderBy("v").select("k", "v", "w").collect() == want
 
 
+def test_tables_counted_too_large_are_never_broadcast(spark):
+    """Spark's estimate does not see the rows that an explode adds; it broadcast the copies of all salts."""
+    facts = spark.range(100).selectExpr("id AS k", "id AS v", "0 AS chrom_id", "id AS start0", "id + 5 AS end0")
+    lookup = spark.range(100).selectExpr("id AS k", "id * 10 AS w")
+    exons = spark.range(100).selectExpr("0 AS chrom_id", "id AS start0", "id + 3 AS end0", "id AS gene")
+    # Few rows of many cells are a large table too.
+    long = spark.range(2).selectExpr("0 AS chrom_id", "id AS start0", "id + 5000 AS end0", "id AS gene")
+    for joined in (
+        scale.dimension_join(facts, lookup, ["k"], "left", max_rows=10),
+        scale.dimension_join(facts, lookup, ["k"], "left_semi", max_rows=10),
+        intervals.overlap_join(facts, exons, max_rows=10),
+        intervals.overlap_join(facts, exons, how="left", max_rows=10),
+        intervals.overlap_join(facts, long, width=10, max_rows=100),
+    ):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_repair(spark):
     a = spark.createDataFrame([("s", "a", 0, "1"), ("s", "b", 1, "2"), ("s", "a", 2, "3")], "sample string, key string, ordinal int, seq string")
     b = spark.createDataFrame([("s", "a", 0, "x"), ("s", "c", 1, "y"), ("s", "b", 2, "z")], "sample string, key string, ordinal int, seq string")
