@@ -103,6 +103,21 @@ def test_row_windows_are_never_unpartitioned(spark):
     assert "SinglePartition" not in plan
 
 
+def test_numbered_rows_are_shuffled_once(spark):
+    """The bytes before a cell came by a join, for which whole rows were shuffled and sorted again."""
+    df = spark.range(50).selectExpr("if(id % 2 = 0, 's', null) AS sample", "id * 40000 AS ordinal", "id AS row_bytes", "struct(id AS a) AS r1")
+    numbered = reads.number_parts(df, limit=100)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    for sample in ("s", None):
+        before = 0
+        for r in sorted((r for r in numbered.collect() if r.sample == sample), key=lambda r: r.ordinal):
+            assert (r.bytes_before, r.part_no, r.r1.a) == (before, before // 100, r.ordinal // 40000)
+            before += r.row_bytes
+    assert numbered.columns == [*df.columns, "bytes_before", "part_no"]
+    assert numbered.count() == 50
+
+
 def test_skewed_joins(spark):
     facts = spark.range(4000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS v")
     lookup = spark.range(4000).selectExpr("id AS k", "id * 10 AS w").filter("k % 2 = 0")
