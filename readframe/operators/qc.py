@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from readframe.operators.intervals import depth_segments, overlap_bases, overlap_join
-from readframe.operators.scale import dimension_join
+from readframe.operators.scale import by_shuffle, dimension_join, fits
 from readframe.session import settle
 
 MAX_LOCI = 10
@@ -63,39 +63,40 @@ def annotated_junctions(junctions: DataFrame, known: DataFrame) -> DataFrame:
     return joined.withColumn("annotated", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
-def sequence_blocks(sequences: DataFrame, width: int = SPLICE_BLOCK) -> DataFrame:
-    """``(chrom_id, block, bases)``: a reference cut into blocks for lookups by position."""
+def sequence_blocks(sequences: DataFrame, width: int = SPLICE_BLOCK, margin: int = 0) -> DataFrame:
+    """``(chrom_id, block, bases)``: a reference cut into blocks for lookups by position, each with ``margin`` bases of the next."""
     starts = F.sequence(F.lit(0), F.expr(f"(length(seq) - 1) div {width}"))
     return sequences.filter("length(seq) > 0").select(
         "chrom_id", F.col("seq").cast("binary").alias("seq"), F.explode(starts).alias("block")
-    ).select("chrom_id", "block", F.substr("seq", (F.col("block") * width + 1).cast("int"), F.lit(width)).alias("bases"))
+    ).select("chrom_id", "block", F.substr("seq", (F.col("block") * width + 1).cast("int"), F.lit(width + margin)).alias("bases"))
 
 
-def splice_motifs(junctions: DataFrame, sequences: DataFrame, width: int = SPLICE_BLOCK) -> DataFrame:
+def splice_motifs(junctions: DataFrame, sequences: DataFrame, width: int = SPLICE_BLOCK, max_rows: int = 20_000) -> DataFrame:
     """Adds ``motif``: the kind of a splice by its first and last two bases.
 
-    Every junction asks for four single bases; each is a lookup by ``(chrom_id, block)``.
+    A distinct junction asks each block that holds one of its ends once, mostly one block for both. It is looked up by
+    ``(chrom_id, block)``: a block is in one row and moved once, as the distinct junctions of a block are bounded by its width.
     """
-    spots = F.array(
-        *[
-            F.struct(F.lit(i).alias("spot"), at.alias("pos"))
-            for i, at in enumerate(
-                (F.col("intron_s"), F.col("intron_s") + 1, F.col("intron_e") - 2, F.col("intron_e") - 1)
-            )
-        ]
-    )
     keys = ["chrom_id", "intron_s", "intron_e"]
-    asked = junctions.select(*keys).distinct().select(*keys, F.inline(spots)).withColumn(
-        "block", F.expr(f"pos div {width}")
+    ends = {"_left": F.col("intron_s"), "_right": F.col("intron_e") - 2}
+
+    def block_of(at):
+        return F.floor(at / width).cast("bigint")
+
+    asked = junctions.select(*keys).distinct().select(
+        *keys, F.explode(F.array_distinct(F.array(*[block_of(at) for at in ends.values()]))).alias("block")
     )
-    found = dimension_join(asked, sequence_blocks(sequences, width), ["chrom_id", "block"], "left", max_rows=20_000)
-    letter = F.substr("bases", (F.col("pos") % width + 1).cast("int"), F.lit(1)).cast("string")
+    blocks = sequence_blocks(sequences, width, margin=1)
+    blocks = F.broadcast(blocks) if fits(blocks, max_rows) else by_shuffle(blocks)
+    found = asked.join(blocks, ["chrom_id", "block"], "left")
     letters = found.groupBy(*keys).agg(
-        F.concat(*[F.coalesce(F.max(F.when(F.col("spot") == i, letter)), F.lit("")) for i in range(4)]).alias("_letters")
-    )
-    kind = F.coalesce(
-        *[F.when(F.upper("_letters").isin(*pair), name) for name, pair in MOTIFS.items()], F.lit("Non-canonical")
+        *[
+            F.max(F.when(F.col("block") == block_of(at), F.substr("bases", (at - F.col("block") * width + 1).cast("int"), F.lit(2)))).cast("string").alias(name)
+            for name, at in ends.items()
+        ]
     )
+    pair = F.upper(F.concat(*[F.coalesce(name, F.lit("")) for name in ends]))
+    kind = F.coalesce(*[F.when(pair.isin(*two), name) for name, two in MOTIFS.items()], F.lit("Non-canonical"))
     return junctions.join(letters.select(*keys, kind.alias("motif")), keys)
 
 

@@ -415,3 +415,16 @@ def test_hooks(spark):
     assert hooks.pick("HISAT2", hooks.ALIGNERS, "aligner") == "hisat2"
     with pytest.raises(ValueError):
         hooks.pick("bwa", hooks.ALIGNERS, "aligner")
+
+
+def test_a_splice_moves_each_block_of_the_reference_once(spark):
+    """Each junction asked for four bases, and the blocks were copied to sixteen salt slices."""
+    sequences = spark.createDataFrame([(0, "AAGTCCCCAGAAACTTTTACG")], "chrom_id long, seq string")
+    junctions = spark.createDataFrame([(0, 2, 10), (0, 12, 20), (0, 3, 7), (0, 19, 30), (1, 2, 10)], "chrom_id long, intron_s long, intron_e long")
+    for width in (3, 4, 5, 64):
+        for max_rows in (0, 100):
+            found = qc.splice_motifs(junctions, sequences, width=width, max_rows=max_rows)
+            got = {(r.chrom_id, r.intron_s): r.motif for r in found.collect()}
+            assert got == {(0, 2): "GT/AG", (0, 12): "Non-canonical", (0, 3): "Non-canonical", (0, 19): "Non-canonical", (1, 2): "Non-canonical"}
+    plan = qc.splice_motifs(junctions, sequences, max_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in plan and "SortMergeJoin" in plan
