@@ -1,7 +1,12 @@
 """Operators against hand-made cases, brute force and randomised invariants."""
 
+import math
 import random
+import sys
+import tracemalloc
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Row, functions as F
@@ -417,6 +422,49 @@ def test_hooks(spark):
         hooks.pick("bwa", hooks.ALIGNERS, "aligner")
 
 
+def test_adapters_are_laid_over_reads_without_a_third_axis():
+    """The kernels held reads x offsets x adapter letters at once and took most of a cleaning job's time."""
+    adapter = "CTGTCTCTTATACACATCTGACGCTGCCGACGA"
+    seqs = ["ACGT" * 25 + adapter[: i % 34] for i in range(600)] + ["", "A"]
+    quals = ["I" * len(seq) for seq in seqs]
+    for kernel in (
+        lambda: trim.clip_positions(seqs, quals, [adapter]),
+        lambda: trim.tail_positions(seqs, adapter, 0.15, 3),
+    ):
+        tracemalloc.start()
+        cut = kernel()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 600 * 133 * len(adapter) * 2
+        assert cut[33 + 34] == 100 and list(cut[-2:]) == [0, 1]
+
+
+def test_complexity_of_reads_of_mixed_length_needs_no_work_read_by_read():
+    def plain(seq):
+        values = []
+        for start in range(0, max(len(seq) - 64, 0) + 1, 32):
+            words = [seq[i : i + 3] for i in range(start, min(start + 62, len(seq) - 2))]
+            counts, n = Counter(words).values(), len(words)
+            values.append((math.log(n) - sum(c * math.log(c) for c in counts) / n) / math.log(min(n, 64)) * 100 if n > 1 else 0.0)
+        return sum(values) / len(values)
+
+    rnd = random.Random(5)
+    seqs = ["".join(rnd.choice("ACGTN") for _ in range(n)) for n in [0, 1, 2, 3, 4, 63, 64, 65, 95, 96, 97, 128, 300] * 20]
+    calls = 0
+
+    def profile(frame, event, arg):
+        nonlocal calls
+        calls += event == "c_call"
+
+    sys.setprofile(profile)
+    try:
+        scores = trim.entropy_scores(seqs)
+    finally:
+        sys.setprofile(None)
+    assert np.allclose(scores, [plain(seq) for seq in seqs])
+    assert calls < 4 * len(seqs)
+
+
 def test_a_splice_moves_each_block_of_the_reference_once(spark):
     """Each junction asked for four bases, and the blocks were copied to sixteen salt slices."""
     sequences = spark.createDataFrame([(0, "AAGTCCCCAGAAACTTTTACG")], "chrom_id long, seq string")
