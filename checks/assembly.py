@@ -8,6 +8,7 @@ from checks import views as v
 from checks.registry import query
 from readframe.operators import compare, transcripts
 from readframe.operators.intervals import BIN_STEP
+from readframe.session import settle
 
 
 def text(chain="chain"):
@@ -47,9 +48,9 @@ def supported_chains(spark, sf):
     return transcripts.supported_chains(_chains(spark, sf)).withColumn("chain", text())
 
 
-def _candidates(spark, sf):
-    """Maximal chains, with 100 bases of exon on both ends."""
-    kept = transcripts.drop_contained(transcripts.supported_chains(_chains(spark, sf)))
+def _candidates(spark, sf, supported=None):
+    """Maximal chains, with 100 bases of exon on both ends; ``supported`` where the caller has the supported chains already."""
+    kept = transcripts.drop_contained(transcripts.supported_chains(_chains(spark, sf)) if supported is None else supported)
     return kept.withColumns({"start0": F.col("start0") - 100, "end0": F.col("end0") + 100})
 
 
@@ -101,8 +102,10 @@ SELECT chrom_id, strand, chain, length, round(reads, 6) AS reads, round(reads *
   round(reads * 1e9 / (length * sum(reads) OVER ()), 4) AS fpkm, round(reads / length / sum(reads / length) OVER () * 1e6, 4) AS tpm FROM e""",
 )
 def shared_abundance(spark, sf):
-    table = transcripts.with_exon_length(_candidates(spark, sf)).select("chrom_id", "strand", "chain", "length")
-    observed = transcripts.supported_chains(_chains(spark, sf)).select("chrom_id", "strand", "chain", "support")
+    # The fragments' chains and the transcripts come from one pass over the splices.
+    supported = settle(transcripts.supported_chains(_chains(spark, sf)))
+    table = transcripts.with_exon_length(_candidates(spark, sf, supported)).select("chrom_id", "strand", "chain", "length")
+    observed = supported.select("chrom_id", "strand", "chain", "support")
     rated = transcripts.shared_abundance(observed, table, EM_STEPS)
     rounded = {c: F.round(c, n) for c, n in (("reads", 6), ("cov", 6), ("fpkm", 4), ("tpm", 4))}
     return rated.withColumns({"chain": text(), **rounded})

@@ -203,7 +203,7 @@ def shared_abundance(chain_table: DataFrame, table: DataFrame, steps: int = 20,
 
     Expectation-maximisation over the classes of :func:`fragment_classes`: each step deals a class's fragments to its
     transcripts in proportion to their reads per base so far, then sums them by transcript. Steps see classes, not
-    fragments; the work of one is a join and two aggregations of (class, transcript) rows. ``table`` has distinct chains and
+    fragments; the work of one is a join, a window and an aggregation of (class, transcript) rows. ``table`` has distinct chains and
     ``length``; a transcript that no fragment fits has 0 reads.
     """
     table = settle(with_chain_id(table))
@@ -212,10 +212,11 @@ def shared_abundance(chain_table: DataFrame, table: DataFrame, steps: int = 20,
         classes.select("class", "fragments", F.explode("transcripts").alias("id")).join(table.select("id", "length"), "id")
     )
     reads = table.select("id", F.lit(1.0).alias("reads"))
+    # A class has as many rows as a gene has isoforms, so a window sees few.
+    total = F.sum("weight").over(Window.partitionBy("class"))
     for step in range(steps):
         weighed = pairs.join(reads, "id").withColumn("weight", F.col("reads") / F.col("length"))
-        total = weighed.groupBy("class").agg(F.sum("weight").alias("total"))
-        dealt = weighed.join(total, "class").select("id", (F.col("fragments") * F.col("weight") / F.col("total")).alias("part"))
+        dealt = weighed.select("id", (F.col("fragments") * F.col("weight") / total).alias("part"))
         reads = settle(dealt.groupBy("id").agg(F.sum("part").alias("reads")))
     counted = settle(table.join(reads, "id", "left").withColumn("reads", F.coalesce("reads", F.lit(0.0))).drop("id"))
     rate = F.col("reads") / F.col("length")
