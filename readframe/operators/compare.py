@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from readframe.functions.cigar import INTERVALS
 from readframe.operators.intervals import depth_segments
 from readframe.operators.transcripts import transcript_exons
 from readframe.session import settle
@@ -30,17 +31,20 @@ def missed(query: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def _features(table: DataFrame) -> DataFrame:
-    """``(level, chrom_id, strand, key)``: every feature of every transcript, of all levels in one table."""
-    span = lambda s, e: F.concat_ws("-", s, e)
-    starts = F.concat(F.array(F.col("start0")), F.transform("chain", lambda i: i["e"]))
-    ends = F.concat(F.transform("chain", lambda i: i["s"]), F.array(F.col("end0")))
-    introns = F.transform("chain", lambda i: span(i["s"], i["e"]))
-    chain = F.array_join(introns, ",")
+    """``(level, chrom_id, strand, key)``: every feature of every transcript, of all levels in one table.
+
+    A key is a list of intervals, not their text: that of a transcript is its introns and its span.
+    """
+    span = lambda s, e: F.struct(s.cast("bigint").alias("s"), e.cast("bigint").alias("e"))
+    chain = F.col("chain").cast(INTERVALS)
+    starts = F.concat(F.array(F.col("start0").cast("bigint")), chain["e"])
+    ends = F.concat(chain["s"], F.array(F.col("end0").cast("bigint")))
+    one_each = lambda spans: F.transform(spans, lambda i: F.array(i))
     keys = {
-        "exon": F.zip_with(starts, ends, span),
-        "intron": introns,
-        "intron_chain": F.when(F.size("chain") > 0, F.array(chain)).otherwise(F.array().cast("array<string>")),
-        "transcript": F.array(F.concat_ws("|", chain, span(F.col("start0"), F.col("end0")))),
+        "exon": one_each(F.zip_with(starts, ends, span)),
+        "intron": one_each(chain),
+        "intron_chain": F.when(F.size("chain") > 0, F.array(chain)).otherwise(F.array().cast(f"array<{INTERVALS}>")),
+        "transcript": F.array(F.concat(chain, F.array(span(F.col("start0"), F.col("end0"))))),
     }
 
     def named(level: str):

@@ -21,3 +21,13 @@ def test_shared_abundance_reads_the_splices_once(spark, monkeypatch):
     monkeypatch.setattr(assembly.v, "splices", lambda *a: calls.append(1) or splices(*a))
     QUERIES["shared_abundance"](spark, SMALL)
     assert len(calls) == 1
+
+
+def test_features_are_intervals_not_text(spark):
+    chains = "chrom_id bigint, strand string, chain array<struct<s:bigint,e:bigint>>, start0 bigint, end0 bigint"
+    query = spark.createDataFrame([(1, "+", [(20, 30), (40, 50)], 10, 60), (1, "+", [], 5, 9), (1, "-", [(20, 30)], 10, 60)], chains)
+    reference = spark.createDataFrame([(1, "+", [(20, 30), (40, 50)], 0, 60), (1, "+", [], 5, 9)], chains)
+    features = compare._features(query)
+    assert features.schema["key"].dataType.simpleString() == "array<struct<s:bigint,e:bigint>>"
+    got = {r.level: (r.tp, r.fp, r.fn) for r in compare.feature_tallies(query, reference, compare.LEVELS[1:5]).collect()}
+    assert got == {"exon": (3, 3, 1), "intron": (2, 1, 0), "intron_chain": (1, 1, 0), "transcript": (1, 2, 1)}
