@@ -10,10 +10,11 @@ INTERVALS = "array<struct<s:bigint,e:bigint>>"
 
 def cigar_ops(cigar: Column) -> Column:
     """``array<struct<n: bigint, op: string>>``; empty for ``*``."""
-    lengths = F.regexp_extract_all(cigar, F.lit(CIGAR_OP), 1)
-    letters = F.regexp_extract_all(cigar, F.lit(CIGAR_OP), 2)
-    return F.zip_with(
-        lengths, letters, lambda n, op: F.struct(n.try_cast("bigint").alias("n"), op.alias("op"))
+    return F.transform(
+        F.regexp_extract_all(cigar, F.lit(CIGAR_OP), 0),
+        lambda item: F.struct(
+            F.left(item, F.length(item) - 1).try_cast("bigint").alias("n"), F.right(item, F.lit(1)).alias("op")
+        ),
     )
 
 

@@ -31,3 +31,12 @@ def test_features_are_intervals_not_text(spark):
     assert features.schema["key"].dataType.simpleString() == "array<struct<s:bigint,e:bigint>>"
     got = {r.level: (r.tp, r.fp, r.fn) for r in compare.feature_tallies(query, reference, compare.LEVELS[1:5]).collect()}
     assert got == {"exon": (3, 3, 1), "intron": (2, 1, 0), "intron_chain": (1, 1, 0), "transcript": (1, 2, 1)}
+
+
+def test_cigar_is_scanned_once(spark):
+    df = spark.createDataFrame([("20M100N30M2S",), ("*",), (None,), ("x5M7",), ("99999999999999999999M1=",)], "c string")
+    ops = df.select("c", cigar_ops(F.col("c")).alias("ops"))
+    assert plan(ops).count("regexp_extract_all") == 1
+    got = {r.c: None if r.ops is None else [tuple(o) for o in r.ops] for r in ops.collect()}
+    assert got == {"20M100N30M2S": [(20, "M"), (100, "N"), (30, "M"), (2, "S")], "*": [], None: None, "x5M7": [(5, "M")],
+                   "99999999999999999999M1=": [(None, "M"), (1, "=")]}
