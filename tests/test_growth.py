@@ -40,3 +40,8 @@ def test_cigar_is_scanned_once(spark):
     got = {r.c: None if r.ops is None else [tuple(o) for o in r.ops] for r in ops.collect()}
     assert got == {"20M100N30M2S": [(20, "M"), (100, "N"), (30, "M"), (2, "S")], "*": [], None: None, "x5M7": [(5, "M")],
                    "99999999999999999999M1=": [(None, "M"), (1, "=")]}
+
+
+@pytest.mark.parametrize("name", ["pair_bins", "mate_of"])
+def test_mates_are_shuffled_once(spark, name):
+    assert plan(QUERIES[name](spark, SMALL)).count("Exchange hashpartitioning") == 1
