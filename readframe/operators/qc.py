@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from readframe.operators.intervals import depth_segments, overlap_bases, overlap_join
-from readframe.operators.scale import by_shuffle, dimension_join, fits
+from readframe.operators.scale import by_shuffle, dealt, dimension_join, fits
 from readframe.session import settle
 
 MAX_LOCI = 10
@@ -147,17 +147,17 @@ def pair_summary(alignments: DataFrame, keys: Sequence[str] = ("sample", "read_i
     A concordant placement is a hit of both mates on one chromosome; a chromosome with a and b
     hits of the mates gives the lesser of a and b.
     """
-    per_chrom = alignments.groupBy(*keys, "chrom_id").agg(
-        F.count(F.when((F.col("mate") == 1) & F.col("chrom_id").isNotNull(), 1)).alias("n1"),
-        F.count(F.when((F.col("mate") == 2) & F.col("chrom_id").isNotNull(), 1)).alias("n2"),
-        F.max(F.when(F.col("mate") == 1, 1).otherwise(0)).alias("has1"),
-        F.max(F.when(F.col("mate") == 2, 1).otherwise(0)).alias("has2"),
+    # Both groupings use the one shuffle by fragment; a task has as many rows however many there are.
+    per_chrom = dealt(alignments.select(*keys, "chrom_id", "mate"), keys).groupBy(*keys, "chrom_id").agg(
+        F.count_if(F.col("mate") == 1).alias("all1"), F.count_if(F.col("mate") == 2).alias("all2")
     )
+    mapped = F.col("chrom_id").isNotNull()
+    n1, n2 = (F.when(mapped, F.col(c)).otherwise(0) for c in ("all1", "all2"))
     frag = per_chrom.groupBy(*keys).agg(
-        F.sum("n1").alias("n1"),
-        F.sum("n2").alias("n2"),
-        F.sum(F.least("n1", "n2")).alias("together"),
-        ((F.max("has1") == 1) & (F.max("has2") == 1)).alias("pair"),
+        F.sum(n1).alias("n1"),
+        F.sum(n2).alias("n2"),
+        F.sum(F.least(n1, n2)).alias("together"),
+        ((F.max("all1") > 0) & (F.max("all2") > 0)).alias("pair"),
     )
     pair, together = F.col("pair"), F.col("together")
     mates = F.filter(

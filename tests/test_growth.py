@@ -45,3 +45,18 @@ def test_cigar_is_scanned_once(spark):
 @pytest.mark.parametrize("name", ["pair_bins", "mate_of"])
 def test_mates_are_shuffled_once(spark, name):
     assert plan(QUERIES[name](spark, SMALL)).count("Exchange hashpartitioning") == 1
+
+
+def test_a_task_has_as_many_rows_in_a_larger_table(spark):
+    sizes = [scale.dealt(spark.range(n), ["id"], rows=1_000).rdd.getNumPartitions() for n in (100, 20_000, 200_000)]
+    assert sizes == [8, 21, 201]
+
+
+def test_pair_summary_groups_on_one_shuffle(spark):
+    rows = [("s", 1, 1, 1), ("s", 1, 2, 1), ("s", 2, 1, 1), ("s", 2, 2, 2), ("s", 3, 1, None), ("s", 3, 2, 1), ("s", 4, 1, 3), ("s", 4, 1, 3), ("s", 5, 2, None), ("s", 6, None, 1)]
+    df = spark.createDataFrame(rows, "sample string, read_id bigint, mate int, chrom_id int")
+    found = qc.pair_summary(df)
+    assert plan(found).count("Exchange hashpartitioning(sample#") == 2  # the fragments, then the samples
+    r = found.first()
+    assert (r.fragments, r.pairs, r.concordant_0, r.concordant_1, r.concordant_more) == (6, 3, 2, 1, 0)
+    assert (r.mates_0, r.mates_1, r.mates_more) == (3, 3, 1)
