@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks import assembly, genome, views
+from checks import assembly, views
 from checks.catalog import QUERIES
 from readframe.functions.cigar import cigar_ops
-from readframe.operators import compare, intervals, qc, scale
+from readframe.operators import compare, qc, scale, seed_index
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -60,3 +60,10 @@ def test_pair_summary_groups_on_one_shuffle(spark):
     r = found.first()
     assert (r.fragments, r.pairs, r.concordant_0, r.concordant_1, r.concordant_more) == (6, 3, 2, 1, 0)
     assert (r.mates_0, r.mates_1, r.mates_more) == (3, 3, 1)
+
+
+def test_rows_of_seeds_carry_no_bases(spark):
+    reads = spark.createDataFrame([("ACGTTGCAAGGTCCATTGACCAGTTACGGATCAT",), ("ACGTTGCAAGGTCCATTGACCAGTTACGGATCAT",), (None,)], "seq string")
+    numbered = seed_index.numbered_reads(reads)
+    assert numbered.count() == 1
+    assert seed_index.read_seeds(numbered).columns == ["read", "strand", "at", "kmer"]
