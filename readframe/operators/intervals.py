@@ -129,7 +129,8 @@ def overlap_join(
     Both sides are cut into cells of ``width`` bases and joined on the cell. A pair that shares
     several cells is kept in the first one only. The right side (the annotation) keeps its
     columns under ``r_start0``/``r_end0``; its cells are broadcast when counted and few, otherwise
-    copied to salt slices so that a cell with a large share of the reads is split.
+    copied to salt slices so that a cell with a large share of the reads is split. All copies together
+    are at most ``salts * max_rows`` rows, or one of each; above that the adaptive skew split alone does it.
 
     With ``how="left"`` unmatched rows of the left side come once per cell with NULLs on the
     right, to be merged by the caller's aggregation.
@@ -153,6 +154,7 @@ def overlap_join(
     if fits(cells, max_rows):
         keyed, cells = reads, F.broadcast(cells)
     else:
+        salts = max(min(salts, salts * max_rows // max(cells.count(), 1)), 1)
         keyed = reads.withColumn("_salt", salt_of(reads, salts))
         cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         cells, keys = by_shuffle(cells), [*keys, "_salt"]

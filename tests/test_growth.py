@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import assembly, views
 from checks.catalog import QUERIES
 from readframe.functions.cigar import cigar_ops
-from readframe.operators import compare, qc, scale, seed_index
+from readframe.operators import compare, intervals, qc, scale, seed_index
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -67,3 +67,13 @@ def test_rows_of_seeds_carry_no_bases(spark):
     numbered = seed_index.numbered_reads(reads)
     assert numbered.count() == 1
     assert seed_index.read_seeds(numbered).columns == ["read", "strand", "at", "kmer"]
+
+
+def test_copies_of_a_large_annotation_are_bounded(spark, monkeypatch):
+    """Sixteen copies of every cell, however many there are, were most of a gene counter's shuffle."""
+    reads = spark.createDataFrame([(1, i * 10, i * 10 + 5) for i in range(300)], "chrom_id int, start0 bigint, end0 bigint")
+    exons, salts, salt_of = reads.withColumn("gene", F.col("start0")), [], intervals.salt_of
+    monkeypatch.setattr(intervals, "salt_of", lambda df, n: salts.append(n) or salt_of(df, n))
+    joined = [intervals.overlap_join(reads, exons, width=100, max_rows=n) for n in (1_000, 299, 60, 1)]
+    assert salts == [15, 3, 1]
+    assert len({str(sorted(map(str, df.collect()))) for df in joined}) == 1
