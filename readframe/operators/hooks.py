@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.types import StructType
 ALIGNERS = ("star", "hisat", "hisat2", "subread")
 COUNTERS = ("featurecount", "featurecounts", "htseq", "star")
 ASSEMBLERS = ("stringtie", "scallop")
+GATHERED_ROWS = 1_000  # rows of small results that are handed over at a time
 
 
 def pick(value: str, allowed: Sequence[str], what: str) -> str:
@@ -42,16 +44,86 @@ def map_parts(
 ) -> DataFrame:
     """``fn(key, batches)`` sees one part as a stream of batches.
 
-    Part numbering bounds a part's bytes, and the stream keeps only a batch in memory.
+    Part numbering bounds a part's bytes, and the stream keeps only a batch in memory. Parts are runs of rows in tasks that
+    are dealt and sorted by ``keys``, so a small part costs its call and no Arrow stream of its own.
     """
+    keys, wanted = list(keys), schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from fn(key, batches)
-
-    run.__annotations__ = {
-        "key": tuple, "batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]
-    }
-    return rows.groupBy(*keys).applyInPandas(run, schema)
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _gathered(_per_key(batches, keys, fn), wanted.names)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def _starts(batch: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
+    """Where the rows of a key begin in a sorted batch; nulls are equal."""
+    fresh = np.zeros(len(batch), dtype=bool)
+    fresh[0] = True
+    for key in keys:
+        column = batch[key]
+        null, values = column.isna().to_numpy(), column.to_numpy()
+        same = np.asarray(values[1:] == values[:-1], dtype=bool) & ~null[1:] & ~null[:-1]
+        fresh[1:] |= ~(same | (null[1:] & null[:-1]))
+    return np.nonzero(fresh)[0]
+
+
+def _per_key(batches: Iterable[pd.DataFrame], keys: Sequence[str], fn: Callable) -> Iterator[pd.DataFrame]:
+    """What ``fn`` makes of each key. Its batches are taken from the stream as it asks for them; what it leaves is passed over."""
+    stream = iter(batches)
+    todo: list[tuple[bool, tuple, pd.DataFrame]] = []  # runs of the batch at hand, last one first: whether one begins a key, the key, its rows
+    last = None
+
+    def fill() -> bool:
+        nonlocal last
+        while not todo:
+            batch = next(stream, None)
+            if batch is None:
+                return False
+            if not len(batch):
+                continue
+            goes_on = last is not None and len(_starts(pd.concat([last, batch.iloc[:1]]), keys)) == 1
+            last, named = batch.iloc[-1:], [batch[key] for key in keys]
+            edges = [*_starts(batch, keys).tolist(), len(batch)]
+            for begin, end in reversed([*zip(edges, edges[1:])]):
+                rows = batch.iloc[begin:end]
+                rows.index = pd.RangeIndex(end - begin)
+                todo.append((begin > 0 or not goes_on, tuple(column.iloc[begin] for column in named), rows))
+        return True
+
+    def own() -> Iterator[pd.DataFrame]:
+        begun = False
+        while fill() and not (begun and todo[-1][0]):
+            begun = True
+            yield todo.pop()[2]
+
+    while fill():
+        part = own()
+        yield from fn(todo[-1][1], part)
+        for _ in part:
+            pass
+
+
+def _gathered(frames: Iterable[pd.DataFrame], names: Sequence[str], rows: int = GATHERED_ROWS) -> Iterator[pd.DataFrame]:
+    """Small results as fewer, larger ones; a result with other columns than ``names`` is an error."""
+    held, held_kinds, size = [], [], 0
+    for frame in frames:
+        if not len(frame):
+            continue
+        if len(frame.columns) != len(names):
+            raise ValueError(f"a result has the columns {[*frame.columns]}, not {[*names]}")
+        if not all(isinstance(c, str) for c in frame.columns):
+            frame = frame.set_axis(names, axis=1)
+        elif set(frame.columns) != {*names}:
+            raise ValueError(f"a result has the columns {[*frame.columns]}, not {[*names]}")
+        kinds = [*frame.dtypes]
+        # Columns of other types are not put together: numbers would become floats.
+        if held and (size >= rows or kinds != held_kinds):
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+        held.append(frame)
+        held_kinds, size = kinds, size + len(frame)
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def map_bins(
