@@ -47,6 +47,13 @@ def test_mates_are_shuffled_once(spark, name):
     assert plan(QUERIES[name](spark, SMALL)).count("Exchange hashpartitioning") == 1
 
 
+def test_mates_are_shuffled_without_what_the_read_tells(spark):
+    """The pair and the end were moved with each hit."""
+    (exchange,) = [line for line in plan(QUERIES["pair_bins"](spark, SMALL)).splitlines() if "Exchange hashpartitioning" in line]
+    below = plan(QUERIES["pair_bins"](spark, SMALL)).split("Exchange hashpartitioning", 1)[1].splitlines()[1]
+    assert exchange and "AS _len" in below and "AS pair" not in below and "AS end0" not in below
+
+
 def test_a_task_has_as_many_rows_in_a_larger_table(spark):
     sizes = [scale.dealt(spark.range(n), ["id"], rows=1_000).rdd.getNumPartitions() for n in (100, 20_000, 200_000)]
     assert sizes == [8, 21, 201]
