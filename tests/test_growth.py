@@ -76,6 +76,15 @@ def test_rows_of_seeds_carry_no_bases(spark):
     assert seed_index.read_seeds(numbered).columns == ["read", "strand", "at", "kmer"]
 
 
+def test_shuffles_of_ended_steps_are_released(spark, monkeypatch):
+    """They stayed until the driver happened to collect its garbage."""
+    done = []
+    monkeypatch.setattr(seed_index, "release", lambda s: done.append(s), raising=False)
+    index = spark.createDataFrame([(1, 0, 5, 1)], "kmer bigint, chrom_id bigint, pos bigint, copies bigint")
+    seed_index.map_indexed(spark.createDataFrame([("ACGTTGCAAGGTCCATTGACCAGTTACGGATCAT",)], "seq string"), index)
+    assert len(done) == 3
+
+
 def test_copies_of_a_large_annotation_are_bounded(spark, monkeypatch):
     """Sixteen copies of every cell, however many there are, were most of a gene counter's shuffle."""
     reads = spark.createDataFrame([(1, i * 10, i * 10 + 5) for i in range(300)], "chrom_id int, start0 bigint, end0 bigint")
